@@ -67,6 +67,7 @@ class Page:
         self._attrs: dict[int, dict[str, str]] = {}
         self._found: dict[str, list[int]] = {}
         self._by_tag: dict[str, list[int]] = {}
+        self._open: dict[str, int] = {}
         self._places: dict[int, tuple[int, int]] | None = None
         self._build(html)
 
@@ -103,6 +104,7 @@ class Page:
             if name in VOID:
                 continue
             open_elements.append(element)
+            self._open[name] = self._open.get(name, 0) + 1
             if name in OWN_TEXT:
                 kinds.append(name)
             if name in RAW_TEXT:
@@ -121,6 +123,8 @@ class Page:
 
     def _close(self, open_elements, kinds, names, is_barrier) -> None:
         """End the nearest open element among ``names``, unless a barrier comes first."""
+        if not any(self._open.get(name) for name in names):
+            return
         for depth in range(len(open_elements) - 1, -1, -1):
             name = self.tag[open_elements[depth]]
             if name in names:
@@ -132,6 +136,7 @@ class Page:
     def _close_to(self, open_elements: list[int], kinds: list[str], depth: int) -> None:
         for element in open_elements[depth:]:
             self.end[element] = len(self.tag)
+            self._open[self.tag[element]] -= 1
             self.text_to[element] = len(self.texts)
             if self.tag[element] in OWN_TEXT:
                 kinds.pop()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import unicodedata
 from functools import lru_cache
 
@@ -56,7 +57,7 @@ def slugify(c: Column | str) -> Column:
     """
     source, target, longer = _ascii_folding()
     text = _col(c)
-    expansions = F.create_map(*[F.lit(x) for pair in longer.items() for x in pair])
+    expansions = F.from_json(F.lit(json.dumps(longer)), "map<string,string>")
     expanded = F.array_join(
         F.transform(
             F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0)),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import _col, slugify
+from .text import _col, or_default, slugify
 
 # The generic URI syntax of RFC 3986, appendix B, and the schemes that allow references
 # relative to a base.
@@ -30,7 +30,7 @@ def article_id(url: Column | str) -> Column:
 def article_slug(title: Column | str, url: Column | str) -> Column:
     title = _col(title)
     last_segment = F.substring_index(_col(url), "/", -1)
-    return F.when(F.length(title) > 0, slugify(title)).otherwise(slugify(last_segment))
+    return slugify(F.when(F.length(title) > 0, title).otherwise(last_segment))
 
 
 def inline_url(page_url: Column | str, idx: Column | str) -> Column:
@@ -52,45 +52,79 @@ def _path_of(segments: Column) -> Column:
     return F.array_join(F.when(ends_in_dots, F.array_append(walked, F.lit(""))).otherwise(walked), "/")
 
 
+def _let(value: Column, body) -> Column:
+    """Name an intermediate value, so that it is written into the plan and evaluated once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _uri_parts(url: Column) -> Column:
+    """Scheme, authority, path, query and fragment; '' where missing."""
+    names = ("scheme", "host", "path", "query", "fragment")
+    return F.struct(*[F.regexp_extract(url, URI, i).alias(n) for i, n in enumerate(names, 1)])
+
+
+def _merge_paths(p: Column) -> Column:
+    """The path of the reference, seen from the folder of the base, before '.' and '..' are applied."""
+    parameters = F.regexp_extract(p["ref"]["path"], ";[^/]*$", 0)
+    file = F.regexp_replace(p["ref"]["path"], ";[^/]*$", "")
+    folder = F.when(p["ref"]["path"].startswith("/"), "").otherwise(F.regexp_replace(p["base"]["path"], "[^/]*$", ""))
+    return F.struct(
+        p["base"].alias("base"),
+        p["ref"].alias("ref"),
+        file.alias("file"),
+        F.when(parameters == ";", "").otherwise(parameters).alias("parameters"),
+        file.startswith("/").alias("rooted"),
+        F.concat(folder, file).alias("merged"),
+    )
+
+
+def _resolved(p: Column) -> Column:
+    def without_empty(segments: Column) -> Column:
+        return F.filter(segments, lambda x, i: (x != "") | (i == 0) | (i == F.size(segments) - 1))
+
+    walked = _let(F.split(p["merged"], "/"), lambda s: _path_of(F.when(p["rooted"], s).otherwise(without_empty(s))))
+    needs_walk = p["merged"].rlike(r"(^|/)\.\.?(/|$)") | (~p["rooted"] & p["merged"].contains("//"))
+    path = or_default(F.when(needs_walk, walked).otherwise(p["merged"]), F.lit("/"))
+    return F.concat(path, p["parameters"])
+
+
+def _joined(p: Column) -> Column:
+    base, ref = p["base"], p["ref"]
+    own_host = ref["host"] != ""
+    same_document = (p["file"] == "") & (p["parameters"] == "")
+    path = (
+        F.when(own_host, F.concat(p["file"], p["parameters"]))
+        .when(same_document, base["path"])
+        .otherwise(_resolved(p))
+    )
+    host = F.when(own_host, ref["host"]).otherwise(base["host"])
+    query = F.when(~own_host & same_document & (ref["query"] == ""), base["query"]).otherwise(ref["query"])
+    parts = F.struct(path.alias("path"), host.alias("host"), query.alias("query"))
+    return _let(
+        parts,
+        lambda x: F.concat(
+            F.when(base["scheme"] != "", F.concat(F.lower(base["scheme"]), F.lit(":"))).otherwise(""),
+            F.when(x["host"] != "", F.concat(F.lit("//"), x["host"])).otherwise(""),
+            F.when((x["host"] != "") & (x["path"] != "") & ~x["path"].startswith("/"), "/").otherwise(""),
+            x["path"],
+            F.when(x["query"] != "", F.concat(F.lit("?"), x["query"])).otherwise(""),
+            F.when(ref["fragment"] != "", F.concat(F.lit("#"), ref["fragment"])).otherwise(""),
+        ),
+    )
+
+
 def url_join(base: Column | str, ref: Column | str) -> Column:
     """Resolve a reference against the URL of the page that holds it."""
     base, ref = _col(base), _col(ref)
     tidy = F.regexp_replace(F.regexp_replace(ref, r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
-    b_scheme, b_host, b_path, b_query = (F.regexp_extract(base, URI, i) for i in (1, 2, 3, 4))
-    r_scheme, r_host, r_path, r_query, r_fragment = (F.regexp_extract(tidy, URI, i) for i in range(1, 6))
-    b_scheme, r_scheme = F.lower(b_scheme), F.lower(r_scheme)
-
-    parameters = F.regexp_extract(r_path, ";[^/]*$", 0)
-    r_file = F.substring(r_path, F.lit(1), F.length(r_path) - F.length(parameters))
-    parameters = F.when(parameters == ";", "").otherwise(parameters)
-
-    rooted = r_file.startswith("/")
-    merged = F.when(rooted, r_file).otherwise(F.concat(F.regexp_replace(b_path, "[^/]*$", ""), r_file))
-    segments = F.split(merged, "/")
-    last = F.size(segments)
-    no_empty = F.filter(segments, lambda x, i: (x != "") | (i == 0) | (i == last - 1))
-    walked = _path_of(F.when(rooted, segments).otherwise(no_empty))
-    needs_walk = merged.rlike(r"(^|/)\.\.?(/|$)") | (~rooted & merged.contains("//"))
-    resolved = F.when(needs_walk, walked).otherwise(merged)
-    resolved = F.when(resolved == "", "/").otherwise(resolved)
-
-    same_document = (r_file == "") & (parameters == "")
-    path = (
-        F.when(r_host != "", F.concat(r_file, parameters))
-        .when(same_document, b_path)
-        .otherwise(F.concat(resolved, parameters))
-    )
-    query = F.when((r_host == "") & same_document & (r_query == ""), b_query).otherwise(r_query)
-    host = F.when(r_host != "", r_host).otherwise(b_host)
-    joined = F.concat(
-        F.when(b_scheme != "", F.concat(b_scheme, F.lit(":"))).otherwise(""),
-        F.when(host != "", F.concat(F.lit("//"), host)).otherwise(""),
-        F.when((host != "") & (path != "") & ~path.startswith("/"), F.concat(F.lit("/"), path)).otherwise(path),
-        F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""),
-        F.when(r_fragment != "", F.concat(F.lit("#"), r_fragment)).otherwise(""),
-    )
-    foreign = ((r_scheme != "") & (r_scheme != b_scheme)) | ~b_scheme.isin(RELATIVE_SCHEMES)
-    return F.when(base == "", ref).when(ref == "", base).when(foreign, ref).otherwise(joined)
+    parts = F.struct(_uri_parts(base).alias("base"), _uri_parts(tidy).alias("ref"))
+
+    def resolve(p: Column) -> Column:
+        base_scheme, ref_scheme = F.lower(p["base"]["scheme"]), F.lower(p["ref"]["scheme"])
+        foreign = ((ref_scheme != "") & (ref_scheme != base_scheme)) | ~base_scheme.isin(RELATIVE_SCHEMES)
+        return F.when(foreign, ref).otherwise(_let(_merge_paths(p), _joined))
+
+    return F.when(base == "", ref).when(ref == "", base).when(ref.isNotNull(), _let(parts, resolve))
 
 
 def image_url(url: Column | str, image: Column | str) -> Column:

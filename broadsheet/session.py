@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,7 +31,16 @@ def build_session(app: str = "broadsheet", master: str | None = None, **conf: st
         builder = builder.master(master)
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return ship(builder.getOrCreate())
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Make this package importable on the executors, as ``--py-files`` would."""
+    package = Path(__file__).parent
+    if not any(Path(f).name.startswith(f"{package.name}-") for f in spark.sparkContext.listFiles):
+        base = f"{tempfile.mkdtemp(prefix='broadsheet-')}/{package.name}-{uuid.uuid4().hex[:8]}"
+        spark.sparkContext.addPyFile(shutil.make_archive(base, "zip", package.parent, package.name))
+    return spark
 
 
 def work_dir(spark: SparkSession) -> str:
