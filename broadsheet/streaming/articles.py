@@ -19,9 +19,6 @@ from ..session import materialize
 from ..sources.pages import stream_pages
 from ..sources.store import Store
 
-# ``arrival`` orders the pages of a batch.
-STREAM_PAGES = "url string, html string, arrival bigint"
-
 
 def events_of(pages: DataFrame, sites: DataFrame, known: DataFrame, force: bool) -> DataFrame:
     """Staged events with their fields: a page is a detail page, or a listing of inline articles.
@@ -63,11 +60,15 @@ def write_batch(store: Store, sites: DataFrame, pages: DataFrame, batch: str, fo
 
 def stream_articles(
     spark: SparkSession, folder: str, sites: DataFrame, store: Store, checkpoint: str, force: bool = False,
-    name: str = "articles", files_per_batch: int = 1000,
+    name: str = "articles", arrival: str = "arrival", files_per_batch: int = 1000,
 ) -> StreamingQuery:
-    """Process the page files not seen yet and stop; a restart goes on after the last finished batch."""
+    """Process the page files not seen yet and stop; a restart goes on after the last finished batch.
+
+    The column ``arrival`` orders the pages of a batch.
+    """
     sites = materialize(sites)
-    pages = stream_pages(spark, folder, STREAM_PAGES, files_per_batch)
+    schema = f"url string, html string, {arrival} bigint"
+    pages = stream_pages(spark, folder, schema, files_per_batch).withColumnRenamed(arrival, "arrival")
     return (
         pages.writeStream.foreachBatch(lambda batch, n: write_batch(store, sites, batch, f"{name}-{n}", force))
         .option("checkpointLocation", checkpoint)
