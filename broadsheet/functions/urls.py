@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -113,9 +115,13 @@ def _joined(p: Column) -> Column:
     )
 
 
-def url_join(base: Column | str, ref: Column | str) -> Column:
-    """Resolve a reference against the URL of the page that holds it."""
-    base, ref = _col(base), _col(ref)
+@lru_cache(maxsize=64)
+def url_join(base: str, ref: str) -> Column:
+    """Resolve the reference in one column against the page URL in another.
+
+    Columns are given by name, and the expression is kept: building it takes many calls to the JVM.
+    """
+    base, ref = F.col(base), F.col(ref)
     tidy = F.regexp_replace(F.regexp_replace(ref, r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
     parts = F.struct(_uri_parts(base).alias("base"), _uri_parts(tidy).alias("ref"))
 
@@ -127,7 +133,6 @@ def url_join(base: Column | str, ref: Column | str) -> Column:
     return F.when(base == "", ref).when(ref == "", base).when(ref.isNotNull(), _let(parts, resolve))
 
 
-def image_url(url: Column | str, image: Column | str) -> Column:
+def image_url(url: str, image: str) -> Column:
     """Resolve a non-empty image address; '' and NULL stay as they are."""
-    image = _col(image)
-    return F.when(F.length(image) > 0, url_join(url, image)).otherwise(image)
+    return F.when(F.length(image) > 0, url_join(url, image)).otherwise(F.col(image))

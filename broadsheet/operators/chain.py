@@ -43,20 +43,18 @@ def page_chain(edges: DataFrame, starts: DataFrame, max_pages: int | None = None
     begun = starts.select("site", F.col("start_url").alias("url"), page.alias("page_number"), effective_cap(cap, page).alias("cap"))
     reached = materialize(begun.join(own, ["site", "url"], "left_semi"))
 
-    distance, size = 1, reached.count()
+    distance = 1
     while True:
-        further = (
-            reached.join(hops, ["site", "url"])
-            .select("site", F.col("target").alias("url"), (F.col("page_number") + distance).alias("page_number"), "cap")
-            .where(F.col("cap").isNull() | (F.col("page_number") <= F.col("cap")))
+        further = reached.join(hops, ["site", "url"]).select(
+            "site", F.col("target").alias("url"), (F.col("page_number") + distance).alias("page_number"), "cap"
         )
-        longer = reached.unionByName(further)
-        capped = longer.where(F.col("cap").isNotNull())
-        free = longer.where(F.col("cap").isNull()).groupBy("site", "url").agg(F.min("page_number").alias("page_number"))
-        reached = materialize(capped.unionByName(free.withColumn("cap", F.lit(None).cast("bigint"))))
-        before, size = size, reached.count()
-        if size == before:
+        capped = further.where(F.col("page_number") <= F.col("cap"))
+        unseen = further.where(F.col("cap").isNull()).join(reached, ["site", "url"], "left_anti")
+        free = unseen.groupBy("site", "url").agg(F.min("page_number").alias("page_number"), F.max("cap").alias("cap"))
+        found = materialize(capped.unionByName(free))
+        if found.isEmpty():
             break
+        reached = reached.unionByName(found)
         ahead = hops.select("site", F.col("url").alias("target"), F.col("target").alias("beyond"))
         hops = materialize(hops.join(ahead, ["site", "target"]).select("site", "url", F.col("beyond").alias("target")))
         distance *= 2

@@ -22,7 +22,7 @@ def article_record(fields: str, url: str, domain: Column) -> dict[str, Column]:
         "published_at": published_at,
         "category": F.col(f"{fields}.category"),
         "author": F.col(f"{fields}.author"),
-        "featured_image": image_url(url, F.col(f"{fields}.featured_image")),
+        "featured_image": image_url(url, f"{fields}.featured_image"),
         "metadata": F.col(f"{fields}.metadata"),
         "url": F.col(url),
         "content_hash": content_hash(title, body, published_at),

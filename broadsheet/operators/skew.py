@@ -25,10 +25,10 @@ def split_hot(df: DataFrame, keys: list[str], limit: int = HOT_ROWS) -> tuple[Da
     Counting combines map-side. There are at most rows / limit hot keys, which bounds the broadcast.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
-    hot_keys = materialize(counts.where(F.col("rows") > limit).select(*keys))
+    hot_keys = counts.where(F.col("rows") > limit).select(*keys)
     if hot_keys.isEmpty():
         return df, None
-    hot_keys = F.broadcast(hot_keys)
+    hot_keys = F.broadcast(materialize(hot_keys))
     return df.join(hot_keys, keys, "left_anti"), df.join(hot_keys, keys, "left_semi")
 
 

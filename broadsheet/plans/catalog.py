@@ -574,10 +574,15 @@ def q_read_store(spark, sf):
     no_ids = {c: F.lit(None).cast("bigint") for c in ("category_id", "author_id", "featured_image_id")}
     rows = records.withColumns({**no_ids, "scraped_at": _ts(STATE_TS), "updated_at": _ts(STATE_TS)})
     columns = StructType.fromDDL(schemas.ARTICLES).names
-    store.write({"articles": rows.select(*columns)})
+    first = store.begin()
+    first.put("articles", rows.select(*columns))
+    first.commit()
     changed = rows.where(F.col("url").startswith("https:")).withColumn("updated_at", _ts(RUN_TS)).select(*columns)
     replaced = changed.select("domain", "article_id", F.lit(1).cast("bigint").alias("version"))
-    store.write({"articles": changed, "superseded": replaced})
+    second = store.begin()
+    second.put("articles", changed)
+    second.put("superseded", replaced)
+    second.commit()
     return store.articles().select("domain", "article_id", "title", "content_hash", F.date_format("updated_at", "yyyy-MM-dd").alias("updated_at"))
 
 

@@ -12,7 +12,7 @@ from ..functions.urls import article_id
 from ..operators.chain import page_chain
 from ..operators.checkpoints import checkpoint_after_run, reset_state, resolve_start
 from ..operators.extract import article_record, items_of, next_page, read_listings
-from ..operators.joins import broadcast_if_small, items_with_detail, pages_with_site
+from ..operators.joins import broadcast_if_small, items_with_detail
 from ..operators.policy import url_policy
 from ..operators.reports import run_report, site_stats
 from ..operators.upsert import replay_order, skip_known
@@ -34,7 +34,7 @@ def _allowed(urls: DataFrame, rules: DataFrame | None, defaults: Defaults) -> Da
 
 def walk(pages: DataFrame, sites: DataFrame, starts: DataFrame, rules, defaults: Defaults, max_pages) -> DataFrame:
     """Listing pages each site visits. A denied or unreadable page ends its chain."""
-    of_site = pages_with_site(pages, sites.select("domain", "site", "config"))
+    of_site = pages.join(sites.select("domain", "site", "config"), "domain")
     links = next_page(of_site.select("site", "config", "url", "html"), F.col("config"))
     edges = _allowed(links.select("site", "url", "next_url"), rules, defaults).where("allowed")
     chain = page_chain(materialize(edges), starts, max_pages)
@@ -43,7 +43,7 @@ def walk(pages: DataFrame, sites: DataFrame, starts: DataFrame, rules, defaults:
 
 def items_on(walked: DataFrame, pages: DataFrame, sites: DataFrame) -> DataFrame:
     """Items of the walked pages in replay order, inline ones with their record."""
-    configs = broadcast_if_small(sites.select("site", "config"))
+    configs = sites.select("site", "config")
     visited = walked.drop("next_url").join(pages.select("url", "html"), "url").join(configs, "site")
     items = items_of(read_listings(visited, F.col("config")))
     record = article_record("fields", "item_url", F.col("domain"))
@@ -63,7 +63,7 @@ def details_for(items: DataFrame, pages: DataFrame, sites: DataFrame, rules, def
     """Each wanted detail page of a site read once: its record, or ``fetch = 'denied'``."""
     wanted = items.where(F.col("mode") == "link").select("site", "domain", F.col("item_url").alias("url")).distinct()
     checked = materialize(_allowed(wanted, rules, defaults))
-    configs = broadcast_if_small(sites.select("site", "config"))
+    configs = sites.select("site", "config")
     found = checked.where("allowed").join(pages.select("url", "html"), "url").join(configs, "site")
     read = found.withColumn("fields", detail("html", F.col("config")))
     record = article_record("fields", "url", F.col("domain"))
@@ -90,7 +90,7 @@ def run(
     """
     defaults = defaults or Defaults()
     run_ts = F.lit(datetime.now(timezone.utc)) if run_ts is None else run_ts
-    sites = materialize(sites.select(*SITE_COLUMNS))
+    sites = broadcast_if_small(materialize(sites.select(*SITE_COLUMNS)))
     state = reset_state(store.state(), sites) if reset else store.state()
 
     walked = walk(pages, sites, resolve_start(sites, state), rules, defaults, max_pages)
@@ -119,5 +119,5 @@ def run(
         return from_pages.select(*columns).unionByName(inline.select(*columns))
 
     after = checkpoint_after_run(state, walked.withColumn("seq", replay_order("site_order", "page_number", F.lit(0))), run_ts)
-    outcomes = settle(store, staged, content, run_ts, force, materialize(after))
+    outcomes = settle(store, staged, content, run_ts, force, after)
     return run_report(sites, site_stats(outcomes))

@@ -43,12 +43,11 @@ def settle(
 
     # Names are kept from every item that reached extraction, written or not.
     named = outcomes.where("extracted")
-    fresh, merged = {}, {}
+    merged, version = {}, store.begin()
     for table, value, column, _ in LOOKUPS:
         lookup = store.lookup(table)
         names = named.select("domain", F.col(column).alias(value), "seq")
-        fresh[table] = materialize(new_lookups(names, lookup, value))
-        merged[table] = lookup.unionByName(fresh[table])
+        merged[table] = lookup.unionByName(version.put(table, new_lookups(names, lookup, value)))
 
     keys = written_keys(outcomes).select(*KEY, "seq")
     last_events = outcomes.join(keys, [*KEY, "seq"]).select(*KEY, "seq", "site", "mode", "item_url")
@@ -56,11 +55,10 @@ def settle(
     for table, value, column, id_column in LOOKUPS:
         written = attach_lookup_ids(written, merged[table], column, id_column, value)
     columns = StructType.fromDDL(schemas.ARTICLES).names
-    written = materialize(written.select(*columns))
+    written = version.put("articles", written.select(*columns))
     replaced = stored.select(*KEY, F.col("written").alias("version")).join(written.select(*KEY), KEY, "left_semi")
-
-    tables = {"articles": written, "superseded": replaced, **fresh}
+    version.put("superseded", replaced)
     if state is not None:
-        tables["state"] = state
-    store.write(tables, batch)
+        version.put("state", state)
+    version.commit(batch)
     return outcomes

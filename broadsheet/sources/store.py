@@ -68,17 +68,33 @@ class Store:
         """Small, so it is written whole."""
         return self._read("state").where(F.col("written") == self.last_commit()[2]).drop("written")
 
-    def write(self, tables: dict[str, DataFrame], batch: str = "", rebase: bool = False) -> int:
-        """Write the given tables as one version and commit it."""
-        version, last_base, state_version = self.last_commit()
-        version += 1
-        for name, rows in tables.items():
-            rows.write.mode("overwrite").parquet(f"{self.root}/{name}/written={version}")
-        commit = (version, version if rebase else last_base, version if "state" in tables else state_version, batch)
-        row = self.spark.createDataFrame([commit], TABLES["commits"])
-        row.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/commits/written={version}")
-        return version
+    def begin(self) -> Version:
+        return Version(self, self.last_commit())
 
     def compact(self) -> int:
         """Write the live articles as one new version; earlier files no longer count."""
-        return self.write({"articles": self.articles()}, rebase=True)
+        version = self.begin()
+        version.put("articles", self.articles())
+        return version.commit(rebase=True)
+
+
+class Version:
+    """The rows of one run; ``put`` writes a table, ``commit`` makes all of them visible."""
+
+    def __init__(self, store: Store, last_commit: tuple[int, int, int]):
+        last, self.base, self.state_version = last_commit
+        self.store, self.number = store, last + 1
+
+    def put(self, table: str, rows: DataFrame) -> DataFrame:
+        """Write the rows of one table, and read them back from there."""
+        path = f"{self.store.root}/{table}/written={self.number}"
+        rows.write.mode("overwrite").parquet(path)
+        if table == "state":
+            self.state_version = self.number
+        return self.store.spark.read.schema(TABLES[table]).parquet(path)
+
+    def commit(self, batch: str = "", rebase: bool = False) -> int:
+        row = (self.number, self.number if rebase else self.base, self.state_version, batch)
+        rows = self.store.spark.createDataFrame([row], TABLES["commits"])
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.store.root}/commits/written={self.number}")
+        return self.number

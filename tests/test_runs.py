@@ -153,7 +153,10 @@ def test_uncommitted_files_are_not_read(spark, tmp_path):
     rows = spark.createDataFrame([(1, "d", "n")], "id bigint, domain string, name string")
     rows.write.parquet(f"{store.root}/categories/written=1")
     assert store.lookup("categories").count() == 0
-    assert store.write({"categories": rows.withColumn("name", F.lit("m"))}) == 1
+    version = store.begin()
+    assert [r.name for r in version.put("categories", rows.withColumn("name", F.lit("m"))).collect()] == ["m"]
+    assert store.lookup("categories").count() == 0
+    assert version.commit() == 1
     assert [r.name for r in store.lookup("categories").collect()] == ["m"]
 
 

@@ -116,5 +116,5 @@ def test_slug_falls_back_to_the_url(spark):
 
 
 def test_image_url(spark):
-    rows = spark.createDataFrame([("../i.png",), ("",), (None,)], "i string")
-    assert [r[0] for r in rows.select(urls.image_url(F.lit("http://h/a/b"), "i")).collect()] == ["http://h/i.png", "", None]
+    rows = spark.createDataFrame([("http://h/a/b", i) for i in ("../i.png", "", None)], "u string, i string")
+    assert [r[0] for r in rows.select(urls.image_url("u", "i")).collect()] == ["http://h/i.png", "", None]
