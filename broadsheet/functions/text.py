@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from collections.abc import Iterable
 from functools import lru_cache
 
 from pyspark.sql import Column
@@ -49,25 +50,34 @@ def _ascii_folding() -> tuple[str, str, dict[str, str]]:
     return "".join(source), "".join(target), longer
 
 
+def _ranges(chars: Iterable[str], gap: int = 64) -> str:
+    """A short character class that covers the characters, and others in between."""
+    ranges: list[list[int]] = []
+    for point in sorted(map(ord, chars)):
+        if ranges and point - ranges[-1][1] <= gap:
+            ranges[-1][1] = point
+        else:
+            ranges.append([point, point])
+    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ranges) + "]"
+
+
 def slugify(c: Column | str) -> Column:
     """Fold to ASCII, lower-case, hyphenate everything but letters and digits; NULL becomes ''.
 
     Folding one character at a time is exact: decomposition only reorders combining marks, and those
-    are dropped. The few characters that expand to several go through a map, behind a guard.
+    are dropped. ``translate`` does it for the characters that leave one letter; each distinct
+    character that leaves several is replaced on its own. ASCII text skips all of it.
     """
     source, target, longer = _ascii_folding()
     text = _col(c)
     expansions = F.from_json(F.lit(json.dumps(longer)), "map<string,string>")
-    expanded = F.array_join(
-        F.transform(
-            F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0)),
-            lambda x: F.coalesce(F.element_at(expansions, x), x),
-        ),
-        "",
+    occurring = F.array_distinct(F.regexp_extract_all(text, F.lit(_ranges(longer)), F.lit(0)))
+    expanded = F.aggregate(
+        occurring, text, lambda done, x: F.replace(done, x, F.coalesce(F.element_at(expansions, x), x))
     )
-    text = F.when(text.rlike("[" + "".join(longer) + "]"), expanded).otherwise(text)
-    folded = F.regexp_replace(F.translate(text, source, target), r"[^\x00-\x7F]+", "")
-    hyphenated = F.regexp_replace(F.lower(folded), "[^a-z0-9]+", "-")
+    folded = F.regexp_replace(F.translate(expanded, source, target), r"[^\x00-\x7F]+", "")
+    ascii_text = F.when(text.rlike(r"[^\x00-\x7F]"), folded).otherwise(text)
+    hyphenated = F.regexp_replace(F.lower(ascii_text), "[^a-z0-9]+", "-")
     return F.coalesce(F.trim(hyphenated, F.lit("-")), F.lit(""))
 
 

@@ -54,10 +54,11 @@ def items_of(listings: DataFrame) -> DataFrame:
     """One row per item: ``page_url, item_idx, mode, item_url, fields``.
 
     The index counts all items of the page; link items without an address are then dropped. An
-    inline item carries its extracted ``fields`` and gets a positional URL.
+    inline item carries its extracted ``fields`` and gets a positional URL. (The outer explode keeps
+    Spark from adding a filter on the array, which would run the extraction twice.)
     """
     kept = [c for c in listings.columns if c not in ("url", "items", "next_url", "error")]
-    item = listings.select(*kept, F.col("url").alias("page_url"), F.explode("items").alias("item"))
+    item = listings.select(*kept, F.col("url").alias("page_url"), F.explode_outer("items").alias("item"))
     is_inline = F.col("item.article").isNotNull()
     return item.where(is_inline | F.col("item.href").isNotNull()).select(
         *kept,

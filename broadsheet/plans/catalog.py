@@ -16,8 +16,8 @@ from .. import schemas
 from ..functions.text import clean_text, content_hash, metadata_json, or_default, or_null, slugify
 from ..functions.urls import article_id, article_slug, inline_url, url_host, url_join, url_origin
 from ..operators import chain, checkpoints, extract, joins, lookups, policy, reports, upsert
-from ..session import work_dir
-from ..sources.pages import with_domain
+from ..session import materialize, work_dir
+from ..sources.pages import spread, with_domain
 from ..sources.sites import Defaults, enabled_sites, request_headers
 from ..sources.store import Store
 from .crawl import run
@@ -55,7 +55,11 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def _pages(spark: SparkSession, sf: str) -> DataFrame:
-    return _table(spark, sf, "pages")
+    return spread(_table(spark, sf, "pages"), "url")
+
+
+def _documents(spark: SparkSession, sf: str) -> DataFrame:
+    return spread(_table(spark, sf, "documents"), "doc_id")
 
 
 def _ts(text: str) -> Column:
@@ -77,9 +81,8 @@ def q_remove_noise(spark, sf):
 
 def q_select_metadata(spark, sf):
     records = extract.extract_articles(_pages(spark, sf), DETAIL)
-    return records.select("page_id", F.explode("metadata").alias("key", "values")).select(
-        "page_id", "key", F.posexplode("values").alias("pos", "value")
-    )
+    keys = records.select("page_id", F.explode_outer("metadata").alias("key", "values"))
+    return keys.select("page_id", "key", F.posexplode_outer("values").alias("pos", "value")).where("pos is not null")
 
 
 def q_list_items(spark, sf):
@@ -106,11 +109,11 @@ def q_items_per_page(spark, sf):
 
 
 def q_slugify(spark, sf):
-    return _table(spark, sf, "documents").select("doc_id", slugify("text").alias("slug"))
+    return _documents(spark, sf).select("doc_id", slugify("text").alias("slug"))
 
 
 def q_clean_text(spark, sf):
-    return _table(spark, sf, "documents").select("doc_id", clean_text("text").alias("text"))
+    return _documents(spark, sf).select("doc_id", clean_text("text").alias("text"))
 
 
 def q_content_hash(spark, sf):
@@ -298,10 +301,12 @@ def _visits(spark: SparkSession, sf: str) -> DataFrame:
         visit(2, F.lit("mirror.example"), "link", F.lit("ok"), F.col("content_hash"), url.startswith("https:")),
         visit(3, F.col("domain"), "inline", F.lit("ok"), again, url.endswith("#top")),
     )
-    events = records.select("page_id", "article_id", "url", "title", "category", F.explode(F.array_compact(rounds)).alias("event"))
-    return events.select(
-        "page_id", "article_id", "url", "title", "category", "event.*", F.col("event.domain").alias("site"),
-        upsert.replay_order("event.round", "page_id", F.lit(0)).alias("seq"),
+    events = records.select("page_id", "article_id", "url", "title", "category", F.explode_outer(F.array_compact(rounds)).alias("event"))
+    return materialize(
+        events.where("event is not null").select(
+            "page_id", "article_id", "url", "title", "category", "event.*", F.col("event.domain").alias("site"),
+            upsert.replay_order("event.round", "page_id", F.lit(0)).alias("seq"),
+        )
     )
 
 
@@ -309,19 +314,24 @@ def _stored(spark: SparkSession, sf: str) -> DataFrame:
     """Stored articles: the https pages, with a stale hash where the URL has a query."""
     records = extract.extract_articles(_pages(spark, sf), DETAIL)
     stale = F.when(F.col("url").contains("?"), "stale").otherwise(F.col("content_hash"))
-    return records.where(F.col("url").startswith("https:")).select(
-        "domain", "article_id", "title", "url", stale.alias("content_hash"),
-        _ts(STATE_TS).alias("scraped_at"), _ts(STATE_TS).alias("updated_at"),
+    return materialize(
+        records.where(F.col("url").startswith("https:")).select(
+            "domain", "article_id", "title", "url", stale.alias("content_hash"),
+            _ts(STATE_TS).alias("scraped_at"), _ts(STATE_TS).alias("updated_at"),
+        )
     )
 
 
+def _slim(visits):
+    return visits.select("page_id", "round", "site", "domain", "article_id", "url", "seq", "mode", "fetch", "content_hash")
+
+
 def _events(spark, sf):
-    slim = ["page_id", "round", "site", "domain", "article_id", "url", "seq", "mode", "fetch", "content_hash"]
-    return _visits(spark, sf).select(*slim)
+    return _slim(_visits(spark, sf))
 
 
 def _outcomes(spark, sf, force=False):
-    return upsert.upsert_outcomes(_events(spark, sf), _stored(spark, sf), force)
+    return upsert.upsert_outcomes(_slim(_visits(spark, sf)), _stored(spark, sf), force)
 
 
 OUTCOME = ["page_id", "round", "domain", "article_id", "outcome", "reason"]
@@ -340,9 +350,10 @@ def q_url_conflicts(spark, sf):
 
 
 def q_upsert_snapshot(spark, sf):
-    stored = _stored(spark, sf)
-    content = _visits(spark, sf).select("domain", "article_id", "seq", "title", "url", "content_hash")
-    written = upsert.written_rows(_outcomes(spark, sf), content, stored, _ts(RUN_TS))
+    stored, visits = _stored(spark, sf), _visits(spark, sf)
+    outcomes = materialize(upsert.upsert_outcomes(_slim(visits), stored))
+    content = visits.select("domain", "article_id", "seq", "title", "url", "content_hash")
+    written = upsert.written_rows(outcomes, content, stored, _ts(RUN_TS))
     snapshot = upsert.upsert_snapshot(stored, written)
     days = {c: F.date_format(c, "yyyy-MM-dd") for c in ("scraped_at", "updated_at")}
     return snapshot.withColumns(days)
@@ -382,30 +393,36 @@ def _names(spark: SparkSession, sf: str) -> DataFrame:
     """Categories per language in page order, empty on '#top' pages."""
     records = extract.extract_articles(_pages(spark, sf), DETAIL)
     name = F.when(F.col("url").endswith("#top"), "").otherwise(F.col("category"))
-    return records.select(F.col("published_at").alias("domain"), name.alias("name"), F.col("page_id").alias("seq"), "url", "title", "body")
+    return materialize(
+        records.select(F.col("published_at").alias("domain"), name.alias("name"), F.col("page_id").alias("seq"), "url", "title", "body")
+    )
 
 
-def _lookup(spark: SparkSession, sf: str) -> DataFrame:
+def _lookup(names: DataFrame) -> DataFrame:
     """Stored categories: those of https pages."""
-    seen = _names(spark, sf).where(F.col("url").startswith("https:") & (F.length("name") > 0))
+    seen = names.where(F.col("url").startswith("https:") & (F.length("name") > 0))
     return seen.groupBy("domain", "name").agg((F.min("seq") + 1).alias("id"))
 
 
 def q_distinct_lookups(spark, sf):
-    return lookups.distinct_lookups(_names(spark, sf), _lookup(spark, sf))
+    names = _names(spark, sf)
+    return lookups.distinct_lookups(names, _lookup(names))
 
 
 def q_lookup_ids(spark, sf):
-    return lookups.new_lookups(_names(spark, sf), _lookup(spark, sf))
+    names = _names(spark, sf)
+    return lookups.new_lookups(names, _lookup(names))
 
 
 def q_merge_lookups(spark, sf):
-    return lookups.merge_lookups(_lookup(spark, sf), _names(spark, sf))
+    names = _names(spark, sf)
+    return lookups.merge_lookups(_lookup(names), names)
 
 
 def _articles_with_ids(spark, sf):
-    merged = lookups.merge_lookups(_lookup(spark, sf), _names(spark, sf))
-    articles = _names(spark, sf).withColumnRenamed("name", "category")
+    names = _names(spark, sf)
+    merged = materialize(lookups.merge_lookups(_lookup(names), names))
+    articles = names.withColumnRenamed("name", "category")
     return lookups.attach_lookup_ids(articles, merged, "category", "category_id"), merged
 
 
