@@ -171,15 +171,22 @@ def written_keys(outcomes: DataFrame) -> DataFrame:
 
 
 def written_rows(outcomes: DataFrame, content: DataFrame, articles: DataFrame, run_ts: Column) -> DataFrame:
-    """Final rows of the inserted and updated articles. ``content`` holds the fields by key and seq."""
+    """Final rows of the inserted and updated articles. ``content`` holds the fields by key and seq.
+
+    The keys are completed first, so the wide fields move in one join only.
+    """
+    stamped = stamp_times(written_keys(outcomes), articles, run_ts)
+    return content.join(stamped, [*KEY, "seq"]).drop("seq")
+
+
+def stamp_times(keys: DataFrame, articles: DataFrame, run_ts: Column) -> DataFrame:
+    """``scraped_at`` is set once, by the insert; ``updated_at`` by every write."""
     scraped = articles.select(*KEY, "scraped_at")
-    keys = written_keys(outcomes)
     return (
-        content.join(keys, [*KEY, "seq"])
-        .join(scraped, KEY, "left")
+        keys.join(scraped, KEY, "left")
         .withColumn("scraped_at", F.when(F.col("is_new"), run_ts).otherwise(F.col("scraped_at")))
         .withColumn("updated_at", run_ts)
-        .drop("seq")
+        .drop("is_new")
     )
 
 

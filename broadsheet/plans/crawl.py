@@ -8,10 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.html import detail
-from ..functions.urls import article_id
 from ..operators.chain import page_chain
 from ..operators.checkpoints import checkpoint_after_run, reset_state, resolve_start
-from ..operators.extract import article_record, items_of, next_page, read_listings
+from ..operators.extract import article_record, items_of, read_listings
 from ..operators.joins import broadcast_if_small, items_with_detail
 from ..operators.policy import url_policy
 from ..operators.reports import run_report, site_stats
@@ -19,11 +18,11 @@ from ..operators.upsert import replay_order, skip_known
 from ..session import materialize
 from ..sources.sites import Defaults
 from ..sources.store import Store
-from .settle import EVENT, settle
+from .settle import CONTENT, EVENT, settle
 
 SITE_COLUMNS = ["site", "site_order", "domain", "config", "start_urls", "pagination.max_pages"]
-RECORD = ["title", "slug", "body", "published_at", "category", "author", "featured_image", "metadata", "url", "content_hash"]
 NAMES = ["category", "author", "featured_image"]
+RECORD = [*CONTENT, *NAMES, "content_hash"]
 
 
 def _allowed(urls: DataFrame, rules: DataFrame | None, defaults: Defaults) -> DataFrame:
@@ -32,20 +31,26 @@ def _allowed(urls: DataFrame, rules: DataFrame | None, defaults: Defaults) -> Da
     return url_policy(urls, rules, defaults.user_agent, defaults.respect_robots_txt)
 
 
-def walk(pages: DataFrame, sites: DataFrame, starts: DataFrame, rules, defaults: Defaults, max_pages) -> DataFrame:
-    """Listing pages each site visits. A denied or unreadable page ends its chain."""
+def listings_of(pages: DataFrame, sites: DataFrame) -> DataFrame:
+    """All pages of the sites read as listings, in one scan of the html and without a shuffle of it.
+
+    Which of them are listings shows only on the walk, which needs the links of all.
+    """
     of_site = pages.join(sites.select("domain", "site", "config"), "domain")
-    links = next_page(of_site.select("site", "config", "url", "html"), F.col("config"))
-    edges = _allowed(links.select("site", "url", "next_url"), rules, defaults).where("allowed")
-    chain = page_chain(materialize(edges), starts, max_pages)
+    read = read_listings(of_site.select("site", "config", "url", "html"), F.col("config"))
+    return read.where("error is null").drop("config", "error")
+
+
+def walk(listings: DataFrame, sites: DataFrame, starts: DataFrame, rules, defaults: Defaults, max_pages) -> DataFrame:
+    """Listing pages each site visits. A denied or unreadable page ends its chain."""
+    edges = _allowed(listings.select("site", "url", "next_url"), rules, defaults).where("allowed")
+    chain = page_chain(edges if rules is None else materialize(edges), starts, max_pages)
     return materialize(chain.join(sites.select("site", "site_order", "domain"), "site"))
 
 
-def items_on(walked: DataFrame, pages: DataFrame, sites: DataFrame) -> DataFrame:
+def items_on(walked: DataFrame, listings: DataFrame) -> DataFrame:
     """Items of the walked pages in replay order, inline ones with their record."""
-    configs = sites.select("site", "config")
-    visited = walked.drop("next_url").join(pages.select("url", "html"), "url").join(configs, "site")
-    items = items_of(read_listings(visited, F.col("config")))
+    items = items_of(walked.drop("next_url").join(listings.select("site", "url", "items"), ["site", "url"]))
     record = article_record("fields", "item_url", F.col("domain"))
     return items.select(
         "site",
@@ -93,15 +98,17 @@ def run(
     sites = broadcast_if_small(materialize(sites.select(*SITE_COLUMNS)))
     state = reset_state(store.state(), sites) if reset else store.state()
 
-    walked = walk(pages, sites, resolve_start(sites, state), rules, defaults, max_pages)
-    items = materialize(items_on(walked, pages, sites))
+    listings = materialize(listings_of(pages, sites))
+    walked = walk(listings, sites, resolve_start(sites, state), rules, defaults, max_pages)
+    items = materialize(items_on(walked, listings))
     fetchable = skip_known(items, store.articles(), force)
     details = materialize(details_for(fetchable, pages, sites, rules, defaults))
 
     known = details.select("site", F.col("url"), F.col("fetch").alias("page_fetch"), F.col("content_hash").alias("page_hash"),
                            *[F.col(n).alias(f"page_{n}") for n in NAMES])
     # A page that many items link to is joined without its body.
-    linked = items_with_detail(items.select(*[c for c in items.columns if c not in ("body", "metadata", "title", "slug")]), known)
+    slim = items.select("site", "domain", "article_id", "seq", "mode", "item_url", "content_hash", *NAMES)
+    linked = items_with_detail(slim, known)
     staged = materialize(
         linked.withColumns({
             "fetch": F.when(F.col("mode") == "link", F.coalesce("page_fetch", "fetch")).otherwise("ok"),
@@ -110,14 +117,13 @@ def run(
         }).select(*EVENT)
     )
 
-    def content(events: DataFrame) -> DataFrame:
+    def add_content(events: DataFrame) -> DataFrame:
         by_page = events.where(F.col("mode") == "link").withColumnRenamed("item_url", "url")
-        from_pages = by_page.join(details.select("site", *RECORD), ["site", "url"])
-        own = items.where(F.col("mode") == "inline").select("domain", "article_id", "seq", *RECORD)
-        inline = events.where(F.col("mode") == "inline").join(own, ["domain", "article_id", "seq"])
-        columns = ["domain", "article_id", "seq", *RECORD]
-        return from_pages.select(*columns).unionByName(inline.select(*columns))
+        linked = by_page.join(details.select("site", *CONTENT), ["site", "url"])
+        own = items.where(F.col("mode") == "inline").select("domain", "article_id", "seq", *CONTENT)
+        inline = events.where(F.col("mode") == "inline").drop("item_url").join(own, ["domain", "article_id", "seq"])
+        return linked.unionByName(inline)
 
     after = checkpoint_after_run(state, walked.withColumn("seq", replay_order("site_order", "page_number", F.lit(0))), run_ts)
-    outcomes = settle(store, staged, content, run_ts, force, after)
+    outcomes = settle(store, staged, add_content, run_ts, force, after)
     return run_report(sites, site_stats(outcomes))

@@ -10,12 +10,13 @@ from pyspark.sql.types import StructType
 
 from .. import schemas
 from ..operators.lookups import attach_lookup_ids, new_lookups
-from ..operators.upsert import KEY, upsert_outcomes, written_keys, written_rows
+from ..operators.upsert import KEY, stamp_times, upsert_outcomes, written_keys
 from ..session import materialize
 from ..sources.store import Store
 
-# Slim columns of a staged event; bodies stay behind until it is known which rows are written.
+# Slim columns of a staged event; the content stays behind until it is known which rows are written.
 EVENT = ["site", *KEY, "seq", "mode", "item_url", "fetch", "content_hash", "category", "author", "featured_image"]
+CONTENT = ["title", "slug", "body", "published_at", "metadata", "url"]
 
 # Store table, its value column, the article column it serves, and the id column.
 LOOKUPS = [
@@ -28,7 +29,7 @@ LOOKUPS = [
 def settle(
     store: Store,
     staged: DataFrame,
-    content: Callable[[DataFrame], DataFrame],
+    add_content: Callable[[DataFrame], DataFrame],
     run_ts: Column,
     force: bool = False,
     state: DataFrame | None = None,
@@ -36,7 +37,8 @@ def settle(
 ) -> DataFrame:
     """Decide every event, write what changed, and return the outcomes.
 
-    ``content`` maps the events whose fields stand at the end to rows with those fields.
+    ``add_content`` joins the content columns to the events whose fields stand at the end. Ids and
+    times are attached to the slim events before, so content is shuffled once at most.
     """
     stored = store.stored_articles()
     outcomes = materialize(upsert_outcomes(staged.select(*EVENT), stored, force))
@@ -49,13 +51,12 @@ def settle(
         names = named.select("domain", F.col(column).alias(value), "seq")
         merged[table] = lookup.unionByName(version.put(table, new_lookups(names, lookup, value)))
 
-    keys = written_keys(outcomes).select(*KEY, "seq")
-    last_events = outcomes.join(keys, [*KEY, "seq"]).select(*KEY, "seq", "site", "mode", "item_url")
-    written = written_rows(outcomes, content(last_events), stored, run_ts)
+    keys = stamp_times(written_keys(outcomes), stored, run_ts)
+    last_events = outcomes.drop("outcome", "reason", "extracted").join(keys, [*KEY, "seq"])
     for table, value, column, id_column in LOOKUPS:
-        written = attach_lookup_ids(written, merged[table], column, id_column, value)
+        last_events = attach_lookup_ids(last_events, merged[table], column, id_column, value)
     columns = StructType.fromDDL(schemas.ARTICLES).names
-    written = version.put("articles", written.select(*columns))
+    written = version.put("articles", add_content(last_events).select(*columns))
     replaced = stored.select(*KEY, F.col("written").alias("version")).join(written.select(*KEY), KEY, "left_semi")
     version.put("superseded", replaced)
     if state is not None:

@@ -14,7 +14,7 @@ from ..operators.extract import article_record, items_of, read_listings
 from ..operators.joins import pages_with_site
 from ..operators.upsert import replay_order, skip_known
 from ..plans.crawl import RECORD
-from ..plans.settle import EVENT, settle
+from ..plans.settle import CONTENT, EVENT, settle
 from ..session import materialize
 from ..sources.pages import stream_pages
 from ..sources.store import Store
@@ -51,11 +51,11 @@ def write_batch(store: Store, sites: DataFrame, pages: DataFrame, batch: str, fo
         return
     events = materialize(events_of(pages, sites, store.articles(), force))
 
-    def content(last_events: DataFrame) -> DataFrame:
-        keys = last_events.select("domain", "article_id", "seq")
-        return events.select(*keys.columns, *RECORD).join(keys, keys.columns, "left_semi")
+    def add_content(last_events: DataFrame) -> DataFrame:
+        key = ["domain", "article_id", "seq"]
+        return last_events.join(events.select(*key, *CONTENT), key)
 
-    settle(store, events.select(*EVENT), content, F.lit(datetime.now(timezone.utc)), force, batch=batch)
+    settle(store, events.select(*EVENT), add_content, F.lit(datetime.now(timezone.utc)), force, batch=batch)
 
 
 def stream_articles(
