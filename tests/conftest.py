@@ -14,7 +14,7 @@ def spark(tmp_path_factory):
         master="local[8]",
         **{
             "spark.ui.enabled": "false",
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "2",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("work")),
         },
     )
