@@ -25,7 +25,7 @@ def lookup_ids(fresh: DataFrame, lookup: DataFrame, column: str = "name", rows_p
     global order needs no single task. The shift table has one row per block.
     """
     blocked = with_blocks(fresh, "seq", rows_per_block)
-    stored = lookup.agg(F.lit(-1).alias("block"), F.coalesce(F.max("id"), F.lit(0)).cast("bigint").alias("n"))
+    stored = lookup.agg(F.lit(-2).alias("block"), F.coalesce(F.max("id"), F.lit(0)).cast("bigint").alias("n"))
     sizes = stored.unionByName(blocked.groupBy("block").agg(F.count(F.lit(1)).alias("n")))
     before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     shifts = sizes.select("block", F.sum("n").over(before).alias("shift"))

@@ -47,7 +47,7 @@ def with_blocks(df: DataFrame, seq: str, rows_per_block: int = HOT_ROWS) -> Data
     """
     blocks = ceil(df.count() / rows_per_block)
     if blocks <= 1:
-        return df.withColumn("block", F.lit(0))
+        return df.withColumn("block", F.when(F.col(seq).isNull(), -1).otherwise(0))
     placed = df.withColumn("_position", position(df, seq))
     shares = [i / blocks for i in range(1, blocks)]
     borders = sorted(set(placed.approxQuantile("_position", shares, 1 / (4 * blocks))))

@@ -80,10 +80,11 @@ def _first() -> Column:
 
 
 def _prior_cold(events: DataFrame) -> DataFrame:
-    """Everything from windows over one shuffle by article."""
-    article = Window.partitionBy("article_id")
-    before = article.orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    events = _standing(events.withColumn("first", _first().over(article)))
+    """Everything from windows over one shuffle and one sort by article."""
+    article = Window.partitionBy("article_id").orderBy("at")
+    whole = article.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before = article.rowsBetween(Window.unboundedPreceding, -1)
+    events = _standing(events.withColumn("first", _first().over(whole)))
     return events.withColumn("hash_prior", F.last("written_hash", ignorenulls=True).over(before))
 
 
