@@ -4,6 +4,9 @@
 config is a dict (one site) or a column of JSON text (many sites). A page that cannot be processed
 gives a row with ``error`` set; it never fails the task. Encodings are settled before: the input is
 text.
+
+Spark moves a filter on extracted fields below the projection and then runs the UDF twice, so write
+the result out before filtering on it.
 """
 
 from __future__ import annotations

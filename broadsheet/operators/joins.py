@@ -30,7 +30,8 @@ def items_with_detail(items: DataFrame, details: DataFrame) -> DataFrame:
     """Attach what is known of the detail page of each item; no page means a failed fetch.
 
     ``details`` has one row per url (and site, where both sides have it), without html or body, so a
-    page that many items link to is not multiplied.
+    page that many items link to is not multiplied. Where it is a written table, AQE can split a URL
+    that a large share of the items has.
     """
     found = details.withColumnRenamed("url", "item_url").withColumn("_found", F.lit(True))
     fetch = F.when(F.col("_found") | (F.col("mode") == "inline"), "ok").otherwise("failed")

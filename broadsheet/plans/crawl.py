@@ -38,7 +38,7 @@ def listings_of(pages: DataFrame, sites: DataFrame) -> DataFrame:
     """
     of_site = pages.join(sites.select("domain", "site", "config"), "domain")
     read = read_listings(of_site.select("site", "config", "url", "html"), F.col("config"))
-    return read.where("error is null").drop("config", "error")
+    return read.drop("config")
 
 
 def walk(listings: DataFrame, sites: DataFrame, starts: DataFrame, rules, defaults: Defaults, max_pages) -> DataFrame:
@@ -98,7 +98,8 @@ def run(
     sites = broadcast_if_small(materialize(sites.select(*SITE_COLUMNS)))
     state = reset_state(store.state(), sites) if reset else store.state()
 
-    listings = materialize(listings_of(pages, sites))
+    # Filtered only once written: a filter on extracted fields would run the extraction a second time.
+    listings = materialize(listings_of(pages, sites)).where("error is null").drop("error")
     walked = walk(listings, sites, resolve_start(sites, state), rules, defaults, max_pages)
     items = materialize(items_on(walked, listings))
     fetchable = skip_known(items, store.articles(), force)
