@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 from .chat import OP5_SQL, op5_chat
+from .lines import OP3_SQL, op3_line_runs
+from .quality import op7_quality_rules
 from .sharding import op4_hypergeometric_shards
 
 QUERIES = {
+    "op3_line_runs": op3_line_runs,
     "op4_hypergeometric_shards": op4_hypergeometric_shards,
     "op5_chat": op5_chat,
+    "op7_quality_rules": op7_quality_rules,
 }
 ORACLES = {
+    "op3_line_runs": OP3_SQL,
     "op5_chat": OP5_SQL,
 }
