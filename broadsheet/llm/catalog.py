@@ -4,16 +4,21 @@ from __future__ import annotations
 
 from .chat import OP5_SQL, op5_chat
 from .lines import OP3_SQL, op3_line_runs
+from .near import op2_order_minhash
+from .phrases import OP8_SQL, op8_positional_index
 from .quality import op7_quality_rules
 from .sharding import op4_hypergeometric_shards
 
 QUERIES = {
+    "op2_order_minhash": op2_order_minhash,
     "op3_line_runs": op3_line_runs,
     "op4_hypergeometric_shards": op4_hypergeometric_shards,
     "op5_chat": op5_chat,
     "op7_quality_rules": op7_quality_rules,
+    "op8_positional_index": op8_positional_index,
 }
 ORACLES = {
     "op3_line_runs": OP3_SQL,
     "op5_chat": OP5_SQL,
+    "op8_positional_index": OP8_SQL,
 }
