@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from .chat import OP5_SQL, op5_chat
 from .lines import OP3_SQL, op3_line_runs
+from .mixing import op6_temperature_mix
 from .near import op2_order_minhash
+from .packing import op9_packed_tokens
 from .phrases import OP8_SQL, op8_positional_index
 from .quality import op7_quality_rules
 from .sharding import op4_hypergeometric_shards
@@ -14,8 +16,10 @@ QUERIES = {
     "op3_line_runs": op3_line_runs,
     "op4_hypergeometric_shards": op4_hypergeometric_shards,
     "op5_chat": op5_chat,
+    "op6_temperature_mix": op6_temperature_mix,
     "op7_quality_rules": op7_quality_rules,
     "op8_positional_index": op8_positional_index,
+    "op9_packed_tokens": op9_packed_tokens,
 }
 ORACLES = {
     "op3_line_runs": OP3_SQL,
