@@ -10,8 +10,10 @@ from .packing import op9_packed_tokens
 from .phrases import OP8_SQL, op8_positional_index
 from .quality import op7_quality_rules
 from .sharding import op4_hypergeometric_shards
+from .warc import OP1_SQL, op1_zip_warc
 
 QUERIES = {
+    "op1_zip_warc": op1_zip_warc,
     "op2_order_minhash": op2_order_minhash,
     "op3_line_runs": op3_line_runs,
     "op4_hypergeometric_shards": op4_hypergeometric_shards,
@@ -22,6 +24,7 @@ QUERIES = {
     "op9_packed_tokens": op9_packed_tokens,
 }
 ORACLES = {
+    "op1_zip_warc": OP1_SQL,
     "op3_line_runs": OP3_SQL,
     "op5_chat": OP5_SQL,
     "op8_positional_index": OP8_SQL,
