@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .article import op10_block_labeller
 from .chat import OP5_SQL, op5_chat
 from .lines import OP3_SQL, op3_line_runs
 from .mixing import op6_temperature_mix
@@ -22,6 +23,7 @@ QUERIES = {
     "op7_quality_rules": op7_quality_rules,
     "op8_positional_index": op8_positional_index,
     "op9_packed_tokens": op9_packed_tokens,
+    "op10_block_labeller": op10_block_labeller,
 }
 ORACLES = {
     "op1_zip_warc": OP1_SQL,
