@@ -50,16 +50,16 @@ class LineRuns:
     def _write(self, rows: DataFrame) -> str:
         table = f"{self.name}_{self._written}"
         self._written += 1
-        dealt = rows.select(*KEY, "n_docs", "last_doc").repartition(self.buckets, *KEY)
-        dealt.write.bucketBy(self.buckets, *KEY).sortBy(*KEY).option("path", f"{self.folder}/{table}").saveAsTable(table)
+        rows.select(*KEY, "n_docs", "last_doc").write.bucketBy(self.buckets, *KEY).sortBy(*KEY).option("path", f"{self.folder}/{table}").saveAsTable(table)
         return table
 
     def _merged(self, tables: list[str]) -> DataFrame:
-        return self._summed(reduce(DataFrame.unionByName, (self.spark.table(t) for t in tables)))
+        # read as plain files: Spark 4.1 takes a union of bucketed tables for bucketed, and groups it wrongly
+        read = self.spark.read.schema("k1 long, k2 long, n_docs long, last_doc long")
+        return self._summed(read.parquet(*(f"{self.folder}/{t}" for t in tables)))
 
-    @staticmethod
-    def _summed(rows: DataFrame) -> DataFrame:
-        return rows.groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.max("last_doc").alias("last_doc"))
+    def _summed(self, rows: DataFrame) -> DataFrame:
+        return rows.repartition(self.buckets, *KEY).groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.max("last_doc").alias("last_doc"))
 
     def tables(self) -> list[str]:
         return [t for level in self.levels for t in level]
@@ -110,7 +110,8 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_documen
     """
     spark = docs.sparkSession
     ids = docs.select("doc_id", "text")
-    bounds = ids.approxQuantile("doc_id", [i / batches for i in range(1, batches)], 0.01)
+    shares = F.array(*(F.lit(i / batches) for i in range(1, batches))) if batches > 1 else None
+    bounds = [] if shares is None else ids.agg(F.percentile_approx("doc_id", shares, 100).alias("at")).first().at or []
     batch = reduce(lambda n, b: n + F.coalesce(F.col("doc_id") > b, F.lit(False)).cast("int"), bounds, F.lit(0))
     path = f"{work_dir(spark)}/lines-{uuid.uuid4().hex}"
     _long_lines(ids, min_chars).withColumn("batch", batch).write.partitionBy("batch").parquet(path)
@@ -118,7 +119,8 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_documen
     runs = LineRuns(spark)
     for i in range(len(bounds), -1, -1):
         runs.add(lines.filter(F.col("batch") == i))
-    heavy = runs.totals().filter(F.col("n_docs") >= min_documents).select(*KEY, "last_doc")
+    # written, so that this side does not pin the join to the runs' buckets and a frequent line can be split
+    heavy = materialize(runs.totals().filter(F.col("n_docs") >= min_documents).select(*KEY, "last_doc"))
     lost = lines.join(heavy, KEY).filter(~F.col("doc_id").eqNullSafe(F.col("last_doc")))
     lost = lost.groupBy("doc_id", "text_hash").agg(F.collect_set("line_no").alias("lost"))
     rows = ids.withColumn("text_hash", F.xxhash64("text")).alias("a")
