@@ -2,9 +2,9 @@
 
 A text is the sequence of its five-word shingles, each labelled with how often it occurred before. For each of ``SKETCHES``
 seeds, the ``SAMPLED`` labelled shingles with the smallest hashes are taken in text order; their hash is a key. Texts that
-agree in most shingles *and* their order share keys. In each bucket of equal keys the texts are compared with one pivot, so the
-pairs grow with the texts, not with the squares of the buckets; where a bucket still holds several components, further rounds
-take other pivots. Similarity is ``m / (n1 + n2 - m)`` with the m shingles that an alignment of both sequences matches: Jaccard
+agree in most shingles *and* their order share keys. In each bucket of equal keys the texts are compared with ``PIVOTS`` pivots, the
+most central ones first, so the pairs grow with the texts, not with the squares of the buckets; while rounds find links and buckets
+still hold several components, further rounds take other pivots. Similarity is ``m / (n1 + n2 - m)`` with the m shingles that an alignment of both sequences matches: Jaccard
 similarity that also asks for the order. The alignment is banded: beyond the band no alignment can reach the threshold.
 
 Equal texts are collapsed first, and links are joined to classes by star contraction over tables in the shared folder.
@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -27,7 +27,7 @@ SIMILARITY = 0.8
 #: With 5 sampled of 32, a pair at similarity 0.8 shares no key with a probability of about 3e-6.
 SKETCHES = 32
 SAMPLED = 5
-MIN_ROUNDS = 2
+PIVOTS = 4
 _SEEDS = np.random.default_rng(7).integers(1, 2**63, (2, SKETCHES), dtype=np.uint64)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _NOTHING = mix(np.array([12345], np.uint64))
@@ -168,22 +168,44 @@ def _verify(threshold: float):
     return verify
 
 
+def _written(df: DataFrame) -> tuple[DataFrame, dict]:
+    """The written table, with its rows (n) and a sum of hashes (s) that tells whether two tables are equal."""
+    seen = Observation()
+    columns = [F.col(c) for c in df.columns]
+    table = materialize(df.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*columns).cast("decimal(38,0)")).alias("s")))
+    return table, seen.get
+
+
+def _pairs(members: DataFrame, round_no: int) -> DataFrame:
+    """node, pivot: the members (key, node, root, central) of every bucket with its ``PIVOTS`` pivots, across components.
+
+    A hash of node and key cuts a bucket into classes; the most central member of each, then the one with the largest hash, is
+    a pivot. So a bucket gives as many pairs as it has members times the number of pivots, and each maximum combines map-side.
+    """
+    kind = F.pmod(F.xxhash64(F.lit(round_no), "key", "node"), F.lit(PIVOTS))
+    best = F.struct("central", F.xxhash64(F.lit(round_no), "node").alias("h"), "node", "root")
+    pivots = members.groupBy("key").agg(
+        F.array_compact(F.array(*(F.max(F.when(kind == i, best)) for i in range(PIVOTS)))).alias("pivots"), F.min("root").alias("low"), F.max("root").alias("high")
+    )
+    met = members.join(pivots.filter("low <> high"), "key").select("node", "root", F.explode("pivots").alias("p")).filter("root <> p.root")
+    return met.select(F.greatest("node", "p.node").alias("node"), F.least("node", "p.node").alias("pivot")).distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, root for every node of ``links`` (a long, b long): root is the smallest node of the component.
 
     Alternates large-star and small-star steps until the links no longer change; every step is written.
     """
-    edges = materialize(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    edges = links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     state = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        edges = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        edges = materialize(edges.filter("a <> b"))
+        edges = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        edges = materialize(edges.filter("a <> b").distinct())
         least = edges.groupBy("a").agg(F.min("b").alias("m"))
         moved = edges.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = materialize(moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct())
-        now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
+        edges, now = _written(moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct())
         if now == state:
             break
         state = now
@@ -205,33 +227,30 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = SIMILARITY) -> Da
     nodes = materialize(texts.select("digest", "least", "keys", F.monotonically_increasing_id().alias("node")))
 
     keyed = nodes.select("node", F.explode("keys").alias("key"))
-    buckets = keyed.groupBy("key").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    shared = materialize(keyed.join(buckets, "key").select("key", "node", "pivot"))
-    pairs = materialize(shared.filter("node <> pivot").select("node", "pivot").distinct())
-    wanted = shared.select("node").distinct()
-    chosen = nodes.join(wanted, "node").select("node", "digest", "least")
+    sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    shared = materialize(keyed.join(sizes, "key").select("key", "node", "n"))
+    # the text in the middle of a group of copies shares the most keys
+    central = shared.groupBy("node").agg(F.sum("n").alias("central"))
+    shared = materialize(shared.select("key", "node").join(central, "node"))
+    pairs = materialize(_pairs(shared.select("key", "node", F.col("node").alias("root"), "central"), 0))
+    chosen = nodes.join(shared.select("node").distinct(), "node").select("node", "digest", "least")
     found = rows.join(chosen, (rows.digest == chosen.digest) & rows.doc_id.eqNullSafe(chosen.least)).select("node", "text")
     sequences = materialize(found.mapInArrow(_stored_sequences, "node long, sequence binary").dropDuplicates(["node"]))
+    pivots = sequences.select(F.col("node").alias("pivot"), F.col("sequence").alias("pivot_sequence"))
 
-    links, tested, roots = None, None, None
+    roots, round_no = None, 0
     while True:
-        fresh = pairs if tested is None else materialize(pairs.join(tested, ["node", "pivot"], "left_anti"))
-        pivots = sequences.select(F.col("node").alias("pivot"), F.col("sequence").alias("pivot_sequence"))
-        compared = fresh.join(sequences, "node").join(pivots, "pivot").select("node", "pivot", "sequence", "pivot_sequence")
-        linked = materialize(compared.mapInArrow(_verify(threshold), "node long, pivot long").select(F.col("node").alias("a"), F.col("pivot").alias("b")))
-        more = tested is None or not linked.isEmpty()
-        tested = fresh if tested is None else tested.unionByName(fresh)
-        if more:
-            links = linked if links is None else links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))).unionByName(linked)
-            roots = components(links)
-        round_no = 1 if tested is fresh else round_no + 1
-        # buckets that still hold several components: another pivot, in another order each round
-        placed = shared.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-        mixed_order = F.struct(F.xxhash64(F.lit(round_no), "node"), "node", "root")
-        open_keys = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min(mixed_order).alias("p")).filter("low <> high")
-        again = placed.join(open_keys.select("key", F.col("p.node").alias("pivot"), F.col("p.root").alias("pivot_root")), "key").filter("root <> pivot_root")
-        pairs = materialize(again.select(F.greatest("node", "pivot").alias("node"), F.least("node", "pivot").alias("pivot")).distinct())
-        if not more and round_no >= MIN_ROUNDS or pairs.isEmpty():
+        compared = pairs.join(sequences, "node").join(pivots, "pivot").select("node", "pivot", "sequence", "pivot_sequence")
+        linked, stats = _written(compared.mapInArrow(_verify(threshold), "node long, pivot long").select(F.col("node").alias("a"), F.col("pivot").alias("b")))
+        if not stats["n"] and roots is not None:
+            break
+        known = linked if roots is None else linked.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+        roots = components(known)
+        # buckets that still hold several components: other pivots
+        round_no += 1
+        placed = shared.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"), F.lit(0).cast("long").alias("central"))
+        pairs, stats = _written(_pairs(placed, round_no))
+        if not stats["n"]:
             break
 
     classes = nodes.join(roots, "node", "left").select("digest", "least", F.coalesce("root", "node").alias("root"))
