@@ -9,10 +9,9 @@ segment tree over the free spaces 0 to ``length`` finds that row in logarithmic
 from __future__ import annotations
 
 import base64
-import re
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +26,7 @@ PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|
 END_ID = 50256
 LENGTH = 2048
 BLOCK_TOKENS = 1 << 20
-CACHED_PIECES = 100_000
 PACKED = "block long, row int, input_ids binary, position_ids binary, cu_seqlens array<int>, doc_ids array<long>, doc_keys array<long>, starts array<long>, n_tokens int"
-#: At a single space between two non-blanks the pattern always cuts, so pieces can be encoded apart.
-_BORDER = re.compile(r"(?<=\S) (?=\S)")
 
 
 @lru_cache(maxsize=2)
@@ -41,27 +37,9 @@ def _encoding(path: str) -> tiktoken.Encoding:
 
 
 def encoder(path: str = RANKS) -> Callable[[str], np.ndarray]:
-    """Text to ids; control strings in a text are ordinary text. Pieces met before are looked up."""
+    """Text to ids; control strings in a text are ordinary text."""
     encode = _encoding(path).encode_ordinary
-    cache: dict[str, list[int]] = {}
-
-    def ids(text: str) -> np.ndarray:
-        if len(cache) > CACHED_PIECES:
-            cache.clear()
-        pieces = _BORDER.split(text)
-        out = []
-        lead = ""
-        for piece in pieces:
-            got = cache.get(piece) if lead else None
-            if got is None:
-                got = encode(lead + piece)
-                if lead and len(piece) <= 64:
-                    cache[piece] = got
-            out.append(got)
-            lead = " "
-        return np.fromiter(chain.from_iterable(out), dtype=np.uint16)
-
-    return ids
+    return lambda text: np.frombuffer(array("H", encode(text)), dtype=np.uint16)
 
 
 class FreeSpace:
