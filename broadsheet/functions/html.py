@@ -15,18 +15,19 @@ import json
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DataType
 
-from ..schemas import DETAIL, LISTING
+from ..schemas import BOTH, DETAIL, LISTING
 from .markup import Page, parse_selector
 from .text import _col
 
 # The defaults of absent keys.
 DEFAULT_LINK_ATTR = "href"
 DEFAULT_IMAGE_ATTR = "src"
+NO_PAGE = "no page"
 TEXT_FIELDS = ("title", "body", "published_at", "category", "author", "featured_image")
 
 
@@ -71,7 +72,11 @@ def _field_attr(page: Page, scope: int | None, selector: str, attr: str) -> str
 
 
 def _listing(html: str, config: dict) -> dict:
-    page, listed = Page(html), config["list_page"]
+    return _listing_of(Page(html), config)
+
+
+def _listing_of(page: Page, config: dict) -> dict:
+    listed = config["list_page"]
     # The next link is read before any noise is removed.
     next_href = _next_href(page, config.get("pagination") or {})
     items, attr = [], listed.get("link_attr", DEFAULT_LINK_ATTR)
@@ -85,9 +90,28 @@ def _listing(html: str, config: dict) -> dict:
     return {"next_href": next_href, "items": items}
 
 
+def _both(html: str, config: dict) -> dict:
+    """One parse for both readings: the listing first, as noise removal belongs to the article."""
+    page = Page(html)
+    try:
+        out = _listing_of(page, config)
+    except Exception as error:
+        out = {"listing_error": f"{type(error).__name__}: {error}"}
+    if (config.get("list_page") or {}).get("item_is_article"):
+        return out
+    try:
+        return {**out, "fields": _article(page, None, config["article"])}
+    except Exception as error:
+        return {**out, "error": f"{type(error).__name__}: {error}"}
+
+
 @lru_cache(maxsize=4096)
-def _parsed(config: str) -> dict:
-    return json.loads(config)
+def _config(text: str | None) -> dict | None:
+    """None where it is not JSON: then every page gives an error row."""
+    try:
+        return json.loads(text)
+    except (TypeError, ValueError):
+        return None
 
 
 def _selectors(config: dict) -> list[str]:
@@ -97,24 +121,55 @@ def _selectors(config: dict) -> list[str]:
     return found + list(article.get("remove_selectors") or []) + list((article.get("metadata_selectors") or {}).values())
 
 
-def check_config(config: dict) -> None:
-    """Raise ValueError on the driver for a selector outside the supported subset."""
+def check_config(config: dict, *uses: str) -> None:
+    """Raise ValueError on the driver for a config that no page could be read with.
+
+    That is a selector outside the supported subset, or a missing key for what it is used for (``detail``, ``listing``).
+    """
+    if not isinstance(config, dict):
+        raise ValueError(f"a config is an object, not {config!r}")
+    listed, paging = (config.get(k) or {} for k in ("list_page", "pagination"))
+    needs_article = "detail" in uses or "listing" in uses and listed.get("item_is_article")
+    for missing, what in (
+        (needs_article and not isinstance(config.get("article"), dict), "article"),
+        ("listing" in uses and not listed.get("item_selector"), "list_page.item_selector"),
+        ("listing" in uses and paging.get("enabled") and not paging.get("next_selector"), "pagination.next_selector"),
+    ):
+        if missing:
+            raise ValueError(f"config {config.get('name', '')!r} has no {what}")
     for selector in _selectors(config):
         parse_selector(selector)
 
 
-def _extractor(read, ddl: str, html: Column | str, config: dict | Column) -> Column:
+def check_configs(sites: DataFrame, walks: bool = True) -> None:
+    """``check_config`` for the JSON texts in ``config``, one small row per site, for all that is done with them.
+
+    What ``walks`` needs listings of every site; what does not reads listings where the config describes them.
+    """
+    for (text,) in sites.select("config").toLocalIterator():
+        try:
+            config = json.loads(text)
+        except (TypeError, ValueError) as error:
+            raise ValueError(f"config is not JSON: {error}") from error
+        listed = config.get("list_page") or {} if isinstance(config, dict) else {}
+        check_config(config, *(["listing"] if walks or listed else []), *([] if listed.get("item_is_article") else ["detail"]))
+
+
+def _extractor(read, use: str, ddl: str, html: Column | str, config: dict | Column) -> Column:
     schema = DataType.fromDDL(ddl)
 
+    def failed(error: str) -> dict:
+        return {"error": error, "listing_error": error} if use == "both" else {"error": error}
+
     def rows(pages, configs):
         for html, config in zip(pages, configs):
             try:
-                yield None if html is None else read(html, config)
+                yield failed(NO_PAGE) if html is None else read(html, config)
             except Exception as error:  # one bad page is one row
-                yield {"error": f"{type(error).__name__}: {error}"}
+                yield failed(f"{type(error).__name__}: {error}")
 
     if isinstance(config, dict):
-        check_config(config)
+        check_config(config, use)
 
         def extract(html: pa.Array) -> pa.Array:
             pages = html.to_pylist()
@@ -123,15 +178,20 @@ def _extractor(read, ddl: str, html: Column | str, config: dict | Column) -> Col
         return F.arrow_udf(extract, schema)(_col(html))
 
     def extract_each(html: pa.Array, configs: pa.Array) -> pa.Array:
-        parsed = [_parsed(c) for c in configs.to_pylist()]
+        parsed = [_config(c) for c in configs.to_pylist()]
         return pa.array(rows(html.to_pylist(), parsed), to_arrow_type(schema))
 
     return F.arrow_udf(extract_each, schema)(_col(html), config)
 
 
 def detail(html: Column | str, config: dict | Column) -> Column:
-    return _extractor(_detail, DETAIL, html, config)
+    return _extractor(_detail, "detail", DETAIL, html, config)
+
+
+def both(html: Column | str, config: Column) -> Column:
+    """A page read as a listing and, where items are links, as an article."""
+    return _extractor(_both, "both", BOTH, html, config)
 
 
 def listing(html: Column | str, config: dict | Column) -> Column:
-    return _extractor(_listing, LISTING, html, config)
+    return _extractor(_listing, "listing", LISTING, html, config)

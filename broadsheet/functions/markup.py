@@ -42,12 +42,16 @@ END_RANK = {
 }
 LOWEST_RANK = 100
 
+#: A tag that never ends is read as text. Beyond so many of them in a page, all the rest of it is.
+MAX_OPEN_TAGS = 16
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>=]++|=(?:\s*(?:\"[^\"]*\"|'[^']*'))?+)*+)>"
     r"|(?P<text>[^<]+|<)",
     re.S,
 )
+_PLAIN = re.compile(r"[^<]+|<")
 _ATTR = re.compile(r"([^\s=/>\"'][^\s=/>]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW_TEXT}
 
@@ -75,8 +79,16 @@ class Page:
         open_elements: list[int] = []
         kinds: list[str] = [""]
         at, size = 0, len(html)
+        last_end, failures = html.rfind(">"), 0
         while at < size:
             token = _TOKEN.match(html, at)
+            if token["text"] == "<" and html[at + 1 : at + 2].isalpha():
+                failures += 1
+            if at > last_end or failures > MAX_OPEN_TAGS:
+                # no tag can end any more: each further "<" would be looked through to the end of the page
+                for piece in _PLAIN.findall(html[at:].partition("<!--")[0]):
+                    self._text(piece, open_elements, kinds[-1])
+                break
             at = token.end()
             if token["text"] is not None:
                 self._text(token["text"], open_elements, kinds[-1])

@@ -1,6 +1,7 @@
 """Page table, selectors and the extraction UDF on small pages of our own."""
 
 import json
+import time
 from html.parser import HTMLParser
 
 import pytest
@@ -9,37 +10,25 @@ from pyspark.sql import functions as F
 from broadsheet.functions.html import _detail, _listing, check_config, detail, listing
 from broadsheet.functions.markup import Page, parse_selector
 
-SHOP_LIST = """<!DOCTYPE html><html><body><ol>
-<li><article class="pod card"><h3><a href="first/index.html" title="First">Fir...</a></h3><p class="stars Four"></p></article></li>
-<li><article class="pod"><h3>no link</h3></article></li>
-<li><article class="pod"><h3><a href="/root/second.html">Second</a></h3></article></li>
-</ol><ul class="pager"><li class="next"><a href="page-2.html">next</a></li></ul></body></html>"""
-SHOP = {
-    "list_page": {"item_selector": "article.pod", "link_selector": "h3 a"},
-    "pagination": {"enabled": True, "next_selector": "li.next a"},
-    "article": {
-        "title_selector": "div.main h1", "body_selector": "#about ~ p", "category_selector": "ul.crumbs li:nth-child(3) a",
-        "author_selector": None, "featured_image_selector": "#gallery img", "published_at_selector": "time",
-        "published_at_attr": "datetime", "remove_selectors": ["script", "style", "nav"],
-        "metadata_selectors": {"price": ".main p.price", "stock": ".main p.stock", "rating": "p.stars", "tags": ".tag", "none": "table"},
-    },
+EVENTS = {
+    "list_page": {"item_selector": "table.calendar tr[data-event]", "link_selector": "td.what > a"},
+    "pagination": {"enabled": True, "next_selector": "caption a.later"},
 }
-SHOP_DETAIL = """<html><body><ul class="crumbs"><li><a>Top</a></li><li><a>Tools</a></li><li><a>Saws</a></li></ul>
-<div id="gallery"><img src="../../img/1.jpg"></div>
-<div class="main"><h1>The <i>Best</i>&nbsp;Book</h1><p class="price">&pound;9.50</p>
-<p class="stock"><i></i>
-   7
-   left</p><p class="stars Four"></p><span class=tag>a</span><span class=tag>b</span></div>
-<div id="about"><h2>About</h2></div><!-- hidden --><p>A fine<br>body.<script>var x = "</p>noise";</script></p>
-<nav>menu <h1>not me</h1></nav><time datetime=""></time></body></html>"""
-QUOTES = """<div class="q"><span class="t">One</span><small>Ann</small><a class="tag">x</a><a class="tag">y</a><b>cut</b></div>
-<div class="q"><span class="t"></span><small>Bo</small></div><nav><li class="next"><a href="/js/2/">Next</a></li></nav>"""
-INLINE = {
-    "list_page": {"item_selector": "div.q", "item_is_article": True, "link_attr": None},
-    "pagination": {"enabled": True, "next_selector": "li.next a", "next_attr": "href"},
-    "article": {"body_selector": "span.t", "author_selector": "small", "remove_selectors": ["b", "nav"],
-                "metadata_selectors": {"tags": "a.tag", "cut": "b"}},
+CALENDAR = """<table class="calendar"><caption>May <a class="later" href="?month=6">June</a></caption>
+<tr><th>Day</th><th>What</th></tr>
+<tr data-event=17><td>3</td><td class="what"><b>free</b> <a href="concert/17">Concert</a></td></tr>
+<tr data-event=18><td>9</td><td class="what">Cancelled</td></tr>
+<tr data-event=19><td>21</td><td class="what"><a href="//tickets.example/19">Fair</a></td></tr></table>"""
+THREAD = {
+    "list_page": {"item_selector": "#thread > section", "item_is_article": True},
+    "pagination": {"enabled": True, "next_selector": "form a[rel=next]"},
+    "article": {"title_selector": "h4", "body_selector": "div.says", "author_selector": "h4 + span", "remove_selectors": ["form", "s"],
+                "metadata_selectors": {"badges": "i.badge", "struck": "s"}},
 }
+POSTS = """<div id="thread">
+<section><h4>Which glue?</h4><span>mira</span><i class="badge">old hand</i><i class="badge gold"></i><div class="says">Any <s>cheap</s> wood glue.</div></section>
+<section><h4></h4><span>tom</span><div class="says">Bone glue.<form>reply</form></div></section>
+</div><form><a rel="next" href="/t/9?p=2">older</a></form>"""
 
 
 def texts(html, selector):
@@ -47,34 +36,56 @@ def texts(html, selector):
     return [page.text(e) for e in page.select(None, selector)]
 
 
-def test_detail():
-    got = _detail(SHOP_DETAIL, SHOP)
-    assert got["title"] == "The Best Book"
-    assert got["body"] == "A fine body."
-    assert got["category"] == "Saws"
-    assert got["author"] is None
-    assert got["featured_image"] == "../../img/1.jpg"
-    assert got["published_at"] == ""  # attributes stay as they are
-    assert dict(got["metadata"]) == {"price": ["£9.50"], "stock": ["7 left"], "rating": ["stars Four"], "tags": ["a", "b"]}
+def detail_of(html, **article):
+    return _detail(html, {"article": article})
+
+
+def test_fields_are_cleaned_text():
+    html = "<dl><dt>Speaker<dd>Dr.&nbsp;<em>Ana</em>\n  Ruiz<dt>Room<dd>4<br>B</dl>"
+    got = detail_of(html, author_selector="dd", body_selector="dd:nth-child(4)", title_selector="h1", category_selector=None)
+    assert (got["author"], got["body"], got["title"], got["category"]) == ("Dr. Ana Ruiz", "4 B", None, None)
+
+
+def test_attributes_are_taken_as_they_are():
+    html = '<img id=map src="../../maps/ hall.png"><abbr class="starts" title="">soon</abbr>'
+    got = detail_of(html, featured_image_selector="#map", published_at_selector="abbr.starts", published_at_attr="title")
+    assert (got["featured_image"], got["published_at"]) == ("../../maps/ hall.png", "")
+
+
+def test_body_may_be_a_following_sibling():
+    assert detail_of("<h3 id=notes>Notes</h3><hr><blockquote>Bring a cup.</blockquote>", body_selector="#notes ~ blockquote")["body"] == "Bring a cup."
+
+
+def test_noise_is_removed_before_fields_are_read():
+    html = "<nav><h1>Menu</h1></nav><main><h1>Talk</h1><p>Good.<script>var end = '</p>bad';</script></p><!-- gone --></main>"
+    got = detail_of(html, title_selector="h1", body_selector="main p", remove_selectors=["nav", "script"])
+    assert (got["title"], got["body"]) == ("Talk", "Good.")
+
+
+def test_metadata_takes_all_matches():
+    html = "<ul class=facts><li>price &euro;3</li><li class='seats few'></li><li>\n outdoors </li></ul>"
+    got = detail_of(html, metadata_selectors={"facts": ".facts li", "absent": "ol"})
+    assert dict(got["metadata"]) == {"facts": ["price €3", "seats few", "outdoors"]}  # classes stand in for an empty element
 
 
 def test_listing_of_links():
-    got = _listing(SHOP_LIST, SHOP)
-    assert got["next_href"] == "page-2.html"
-    assert [(i["idx"], i["href"]) for i in got["items"]] == [(0, "first/index.html"), (1, None), (2, "/root/second.html")]
+    got = _listing(CALENDAR, EVENTS)
+    assert got["next_href"] == "?month=6"
+    assert [(i["idx"], i["href"]) for i in got["items"]] == [(0, "concert/17"), (1, None), (2, "//tickets.example/19")]
 
 
 def test_listing_of_inline_articles():
-    got = _listing(QUOTES, INLINE)
+    got = _listing(POSTS, THREAD)
     first, second = (i["article"] for i in got["items"])
-    assert got["next_href"] == "/js/2/"  # noise removal does not reach the next link
-    assert (first["body"], first["author"], dict(first["metadata"])) == ("One", "Ann", {"tags": ["x", "y"]})
-    assert (second["body"], second["author"], dict(second["metadata"])) == (None, "Bo", {})
+    assert got["next_href"] == "/t/9?p=2"  # noise removal does not reach the next link
+    assert (first["title"], first["body"], first["author"]) == ("Which glue?", "Any wood glue.", "mira")
+    assert dict(first["metadata"]) == {"badges": ["old hand", "badge gold"]}
+    assert (second["title"], second["body"], second["author"], dict(second["metadata"])) == (None, "Bone glue.", "tom", {})
 
 
 def test_paging_can_be_off():
-    assert _listing(SHOP_LIST, {**SHOP, "pagination": {"enabled": False}})["next_href"] is None
-    assert _listing(SHOP_LIST, {"list_page": {"item_selector": "a"}})["items"][0]["href"] == "first/index.html"
+    assert _listing(CALENDAR, {**EVENTS, "pagination": {"enabled": False}})["next_href"] is None
+    assert _listing(CALENDAR, {"list_page": {"item_selector": "td a"}})["items"][0]["href"] == "concert/17"
 
 
 def test_image_attribute_default_depends_on_the_key():
@@ -105,7 +116,12 @@ def test_configs_are_checked_on_the_driver():
         check_config({"article": {"title_selector": "p:hover"}})
     with pytest.raises(ValueError):
         check_config({"article": {"metadata_selectors": {"k": "p::x"}}})
-    check_config({**SHOP, "list_page": {"item_selector": "li", "wait_for_selector": "p:hover"}})
+    check_config({**EVENTS, "list_page": {"item_selector": "li", "wait_for_selector": "p:hover"}}, "listing")
+    for config, use in ((EVENTS, "detail"), ({"list_page": {}}, "listing"), ({}, "listing"), ({**THREAD, "article": None}, "listing"), ("text", "detail")):
+        with pytest.raises(ValueError):
+            check_config(config, use)
+    with pytest.raises(ValueError):
+        check_config({**EVENTS, "pagination": {"enabled": True}}, "listing")
 
 
 def test_implied_ends_and_strays():
@@ -173,7 +189,21 @@ def test_udf_reports_errors_as_rows(spark):
     rows = spark.createDataFrame([("<h1>a</h1>",), (None,)], "html string")
     broken = {"article": {"title_selector": "h1", "metadata_selectors": {"k": 5}}}
     got = rows.select(detail("html", {"article": {"title_selector": "h1"}}).alias("d")).collect()
-    assert got[0].d.title == "a" and got[0].d.error is None and got[1].d is None
+    assert got[0].d.title == "a" and got[0].d.error is None
+    assert got[1].d.error and got[1].d.title is None  # no page is a failed fetch, not an empty one
     got = rows.select(detail("html", F.lit(json.dumps(broken))).alias("d"), listing("html", F.lit("{}")).alias("l")).collect()
     assert got[0].d.title is None and got[0].d.error
     assert "list_page" in got[0].l.error
+    assert rows.select(detail("html", F.lit("no json")).alias("d")).first().d.error
+
+
+@pytest.mark.parametrize("piece", ['<a b="', "<a ", "<!--", "<!", "<b><p>", "<a b='\"", "<div ", "</a"])
+def test_hostile_pages_take_linear_time(piece):
+    for html in (piece * (500_000 // len(piece)), piece * (500_000 // len(piece)) + "'\">x"):
+        start = time.process_time()
+        Page(html)
+        assert time.process_time() - start < 8
+
+
+def test_text_after_an_unfinished_tag_stays():
+    assert texts("<p>a <b>c</b> 1 < 2 <i", "p") == ["a c 1 < 2 < i"]
