@@ -7,12 +7,10 @@ computation runs per block and only one row per block is carried on.
 
 from __future__ import annotations
 
-from math import ceil, inf
+from math import ceil
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
 
 from ..session import materialize
 
@@ -32,26 +30,13 @@ def split_hot(df: DataFrame, keys: list[str], limit: int = HOT_ROWS) -> tuple[Da
     return df.join(hot_keys, keys, "left_anti"), df.join(hot_keys, keys, "left_semi")
 
 
-def position(df: DataFrame, seq: str) -> Column:
-    """A number that never falls along ``seq``; it only has to place the block borders."""
-    if isinstance(df.schema[seq].dataType, NumericType):
-        return F.col(seq).cast("double")
-    return F.col(f"{seq}.site_order") * F.lit(2.0**32) + F.col(f"{seq}.page_number")
-
-
 def with_blocks(df: DataFrame, seq: str, rows_per_block: int = HOT_ROWS) -> DataFrame:
-    """Add ``block``: consecutive ranges of ``seq`` with about ``rows_per_block`` rows each.
+    """Add ``block``: consecutive ranges of ``seq`` with about ``rows_per_block`` rows each, numbered in its order.
 
-    The borders are quantiles, one number per block on the driver. Rows without ``seq`` come first,
-    as block -1.
+    Rows are dealt out by ``seq`` itself, of whatever type, and written, so that the number of a row's block
+    stays what it is. Rows with equal ``seq`` share a block; those without come first.
     """
     blocks = ceil(df.count() / rows_per_block)
     if blocks <= 1:
-        return df.withColumn("block", F.when(F.col(seq).isNull(), -1).otherwise(0))
-    placed = df.withColumn("_position", position(df, seq))
-    shares = [i / blocks for i in range(1, blocks)]
-    borders = sorted(set(placed.approxQuantile("_position", shares, 1 / (4 * blocks))))
-    splits = [-inf, *borders, inf]
-    cut = Bucketizer(splits=splits, inputCol="_position", outputCol="block", handleInvalid="keep").transform(placed)
-    block = F.when(F.col("_position").isNull(), -1).otherwise(F.col("block").cast("int"))
-    return cut.withColumn("block", block).drop("_position")
+        return df.withColumn("block", F.lit(0))
+    return materialize(df.repartitionByRange(blocks, seq).withColumn("block", F.spark_partition_id()))

@@ -115,7 +115,7 @@ def _prior_hot(events: DataFrame, rows_per_block: int) -> DataFrame:
 
 
 def upsert_outcomes(
-    staged: DataFrame, articles: DataFrame, force: bool = False, hot_rows: int = HOT_ROWS
+    staged: DataFrame, articles: DataFrame, force: bool = False, hot_rows: int = HOT_ROWS, rows_per_block: int | None = None
 ) -> DataFrame:
     """Add ``outcome`` and ``reason`` per event, and ``extracted`` (the item reached extraction).
 
@@ -130,7 +130,7 @@ def upsert_outcomes(
         cold_state = articles.join(hot_ids, "article_id", "left_anti")
         hot_state = articles.join(hot_ids, "article_id", "left_semi")
         events = _prior_cold(_with_state(cold, cold_state, force)).unionByName(
-            _prior_hot(_with_state(hot, hot_state, force), hot_rows)
+            _prior_hot(_with_state(hot, hot_state, force), rows_per_block or hot_rows)
         )
     lazy_known = ~F.col("eager") & F.col("exists_prior")
     reason = (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import shutil
 import tempfile
 import uuid
@@ -44,9 +45,11 @@ def ship(spark: SparkSession) -> SparkSession:
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; a temporary one only where none is set (local tests)."""
+    """The shared folder named by the cluster; a temporary one only in local mode, where none is set."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="broadsheet-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
