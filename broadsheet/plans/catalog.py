@@ -17,7 +17,7 @@ from ..functions.text import clean_text, content_hash, metadata_json, or_default
 from ..functions.urls import article_id, article_slug, inline_url, url_host, url_join, url_origin
 from ..operators import chain, checkpoints, extract, joins, lookups, policy, reports, upsert
 from ..session import materialize, work_dir
-from ..sources.pages import spread, with_domain
+from ..sources.pages import with_domain
 from ..sources.sites import Defaults, enabled_sites, request_headers
 from ..sources.store import Store
 from .crawl import run
@@ -55,11 +55,11 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def _pages(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(_table(spark, sf, "pages"), "url")
+    return _table(spark, sf, "pages")
 
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(_table(spark, sf, "documents"), "doc_id")
+    return _table(spark, sf, "documents")
 
 
 def _ts(text: str) -> Column:
@@ -341,6 +341,17 @@ def q_upsert_outcomes(spark, sf):
     return _outcomes(spark, sf).select(*OUTCOME)
 
 
+#: Places in an order that no double can tell apart: epoch milliseconds below site numbers of a second partition.
+LATE, FAR = 1_700_000_000_000, 1 << 33
+
+
+def q_upsert_outcomes_blocks(spark, sf):
+    """The same events on the path for hot articles: many small blocks, large numbers in the order."""
+    visits = _slim(_visits(spark, sf))
+    late = visits.withColumn("seq", upsert.replay_order(F.col("seq.site_order") + FAR, F.col("seq.page_number") + LATE, "seq.item_idx"))
+    return upsert.upsert_outcomes(late, _stored(spark, sf), hot_rows=1, rows_per_block=64).select(*OUTCOME)
+
+
 def q_replay_upserts(spark, sf):
     return _outcomes(spark, sf, force=True).select(*OUTCOME)
 
@@ -414,6 +425,12 @@ def q_lookup_ids(spark, sf):
     return lookups.new_lookups(names, _lookup(names))
 
 
+def q_lookup_ids_blocks(spark, sf):
+    names = _names(spark, sf)
+    late = names.withColumn("seq", upsert.replay_order(F.col("seq") % 1 + FAR, F.col("seq") + LATE, F.lit(0)))
+    return lookups.new_lookups(late, _lookup(names), rows_per_block=16)
+
+
 def q_merge_lookups(spark, sf):
     names = _names(spark, sf)
     return lookups.merge_lookups(_lookup(names), names)
@@ -564,6 +581,22 @@ def q_run(spark, sf):
     return run(store, site, pages)
 
 
+def q_run_state(spark, sf):
+    """The checkpoint that a run over three listing pages leaves."""
+    store = _new_store(spark)
+    run(store, _news_site(spark), _news_pages(spark, sf), max_pages=3)
+    return store.state().select("domain", "last_url", "last_page")
+
+
+def q_run_label(spark, sf):
+    """A run of a site whose domain is a label that no host has; its list of hosts has all pages parsed where they are scanned."""
+    store = _new_store(spark)
+    hosts = _pages(spark, sf).agg(F.collect_set(url_host("url")).alias("hosts"))
+    site = _news_site(spark).withColumn("domain", F.lit("the news")).withColumn("hosts", F.array(*(F.lit(h) for h in hosts.first().hosts)))
+    run(store, site, _news_pages(spark, sf))
+    return _run_articles(store).select("domain", "article_id", "title", "url", "content_hash")
+
+
 def q_run_articles(spark, sf):
     store = _new_store(spark)
     run(store, _news_site(spark), _news_pages(spark, sf))
@@ -577,6 +610,7 @@ def q_stream_articles(spark, sf):
     hosts = _pages(spark, sf).select(url_host("url").alias("site")).distinct()
     sites = hosts.select(
         "site", F.lit(0).cast("bigint").alias("site_order"), F.col("site").alias("domain"), F.lit(json.dumps(DETAIL)).alias("config"),
+        F.array(F.concat(F.lit("http://"), "site", F.lit("/"))).alias("start_urls"),
         F.struct(F.lit(False).alias("item_is_article")).alias("list_page"),
     )
     query = stream_articles(spark, f"{sf}/pages*.parquet", sites, store, f"{store.root}/checkpoint", arrival="page_id")

@@ -7,18 +7,19 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.html import detail
+from ..functions.html import both, check_configs, detail
+from ..functions.urls import url_join
 from ..operators.chain import page_chain
 from ..operators.checkpoints import checkpoint_after_run, reset_state, resolve_start
-from ..operators.extract import article_record, items_of, read_listings
-from ..operators.joins import broadcast_if_small, items_with_detail
+from ..operators.extract import article_record, items_of
+from ..operators.joins import broadcast_if_small, items_with_detail, pages_with_site
 from ..operators.policy import url_policy
 from ..operators.reports import run_report, site_stats
 from ..operators.upsert import replay_order, skip_known
 from ..session import materialize
 from ..sources.sites import Defaults
 from ..sources.store import Store
-from .settle import CONTENT, EVENT, settle
+from .settle import CONTENT, EVENT, settle, touched_rows
 
 SITE_COLUMNS = ["site", "site_order", "domain", "config", "start_urls", "pagination.max_pages"]
 NAMES = ["category", "author", "featured_image"]
@@ -31,14 +32,23 @@ def _allowed(urls: DataFrame, rules: DataFrame | None, defaults: Defaults) -> Da
     return url_policy(urls, rules, defaults.user_agent, defaults.respect_robots_txt)
 
 
-def listings_of(pages: DataFrame, sites: DataFrame) -> DataFrame:
-    """All pages of the sites read as listings, in one scan of the html and without a shuffle of it.
+def parse_pages(pages: DataFrame, sites: DataFrame, state: DataFrame) -> DataFrame:
+    """All pages of the sites parsed once, where they are scanned: ``site, next_url, items, listing_error, fetch`` and the record.
 
-    Which of them are listings shows only on the walk, which needs the links of all.
+    Which pages are listings and which are wanted shows only on the walk, so each is read as both. The html ends here.
     """
-    of_site = pages.join(sites.select("domain", "site", "config"), "domain")
-    read = read_listings(of_site.select("site", "config", "url", "html"), F.col("config"))
-    return read.drop("config")
+    columns = [c for c in ("domain", "site", "config", "start_urls", "hosts") if c in sites.columns]
+    of_site = pages_with_site(pages, sites.select(*columns), state)
+    read = of_site.withColumn("_page", both("html", F.col("config")))
+    record = article_record("_page.fields", "url", F.col("domain"))
+    return read.select(
+        "site",
+        F.nullif(url_join("url", "_page.next_href"), F.col("url")).alias("next_url"),
+        F.col("_page.items").alias("items"),
+        F.col("_page.listing_error").alias("listing_error"),
+        F.when(F.col("_page.error").isNull(), "ok").otherwise("failed").alias("fetch"),
+        *[record[c].alias(c) for c in RECORD],
+    )
 
 
 def walk(listings: DataFrame, sites: DataFrame, starts: DataFrame, rules, defaults: Defaults, max_pages) -> DataFrame:
@@ -64,18 +74,24 @@ def items_on(walked: DataFrame, listings: DataFrame) -> DataFrame:
     )
 
 
-def details_for(items: DataFrame, pages: DataFrame, sites: DataFrame, rules, defaults: Defaults) -> DataFrame:
-    """Each wanted detail page of a site read once: its record, or ``fetch = 'denied'``."""
+def details_for(items: DataFrame, parsed: DataFrame, pages: DataFrame, sites: DataFrame, rules, defaults: Defaults) -> DataFrame:
+    """Each wanted detail page of a site: its record, or ``fetch = 'denied'``.
+
+    Pages on the site's hosts are parsed already. Only pages elsewhere are looked up by URL, and their html with them.
+    """
     wanted = items.where(F.col("mode") == "link").select("site", "domain", F.col("item_url").alias("url")).distinct()
     checked = materialize(_allowed(wanted, rules, defaults))
-    configs = sites.select("site", "config")
-    found = checked.where("allowed").join(pages.select("url", "html"), "url").join(configs, "site")
-    read = found.withColumn("fields", detail("html", F.col("config")))
-    record = article_record("fields", "url", F.col("domain"))
-    fetch = F.when(F.col("fields.error").isNull(), "ok").otherwise("failed")
-    extracted = read.select("site", *[record[c].alias(c) for c in RECORD], fetch.alias("fetch"))
+    allowed = checked.where("allowed").select("site", "domain", "url")
+    found = parsed.select("site", *RECORD, "fetch").join(allowed.select("site", "url"), ["site", "url"], "left_semi")
+    elsewhere = materialize(allowed.join(parsed.select("site", "url"), ["site", "url"], "left_anti"))
+    if not elsewhere.isEmpty():
+        asked = elsewhere.join(pages.select("url", "html"), "url").join(sites.select("site", "config"), "site")
+        read = asked.withColumn("fields", detail("html", F.col("config")))
+        record = article_record("fields", "url", F.col("domain"))
+        fetch = F.when(F.col("fields.error").isNull(), "ok").otherwise("failed")
+        found = found.unionByName(read.select("site", *[record[c].alias(c) for c in RECORD], fetch.alias("fetch")))
     denied = checked.where(~F.col("allowed")).select("site", "url", F.lit("denied").alias("fetch"))
-    return extracted.unionByName(denied, allowMissingColumns=True)
+    return found.unionByName(denied, allowMissingColumns=True)
 
 
 def run(
@@ -91,19 +107,23 @@ def run(
 ) -> DataFrame:
     """Process all given sites and commit one version of the store; returns the report per site.
 
-    ``pages``: url, html, domain; one row per url. Intermediate tables go to the shared work folder.
+    ``pages``: url, html; one row per url. A page belongs to a site by its host, see ``site_hosts``; a config that cannot
+    be used raises before anything runs. A NULL html is a failed fetch. Intermediate tables go to the shared work folder.
     """
     defaults = defaults or Defaults()
     run_ts = F.lit(datetime.now(timezone.utc)) if run_ts is None else run_ts
-    sites = broadcast_if_small(materialize(sites.select(*SITE_COLUMNS)))
+    sites = broadcast_if_small(materialize(sites.select(*SITE_COLUMNS, *(["hosts"] if "hosts" in sites.columns else []))))
+    check_configs(sites)
     state = reset_state(store.state(), sites) if reset else store.state()
 
     # Filtered only once written: a filter on extracted fields would run the extraction a second time.
-    listings = materialize(listings_of(pages, sites)).where("error is null").drop("error")
+    parsed = materialize(parse_pages(pages, sites, state))
+    listings = parsed.where("listing_error is null").select("site", "url", "next_url", "items")
     walked = walk(listings, sites, resolve_start(sites, state), rules, defaults, max_pages)
     items = materialize(items_on(walked, listings))
-    fetchable = skip_known(items, store.articles(), force)
-    details = materialize(details_for(fetchable, pages, sites, rules, defaults))
+    touched = touched_rows(store, items)
+    fetchable = skip_known(items, touched, force)
+    details = materialize(details_for(fetchable, parsed, pages, sites, rules, defaults))
 
     known = details.select("site", F.col("url"), F.col("fetch").alias("page_fetch"), F.col("content_hash").alias("page_hash"),
                            *[F.col(n).alias(f"page_{n}") for n in NAMES])
@@ -126,5 +146,5 @@ def run(
         return linked.unionByName(inline)
 
     after = checkpoint_after_run(state, walked.withColumn("seq", replay_order("site_order", "page_number", F.lit(0))), run_ts)
-    outcomes = settle(store, staged, add_content, run_ts, force, after)
+    outcomes = settle(store, staged, add_content, run_ts, force, after, touched=touched)
     return run_report(sites, site_stats(outcomes))

@@ -26,6 +26,16 @@ LOOKUPS = [
 ]
 
 
+def touched_rows(store: Store, events: DataFrame) -> DataFrame:
+    """Keys, hashes and times of the stored articles that share an article id with ``events``, written once.
+
+    All that a batch asks the store: who owns an id, what is known, what is replaced. The rest of the store is not shuffled.
+    """
+    ids = events.select("article_id").distinct()
+    stored = store.stored_articles().select(*KEY, "content_hash", "scraped_at", "written")
+    return materialize(stored.join(ids, "article_id", "left_semi"))
+
+
 def settle(
     store: Store,
     staged: DataFrame,
@@ -34,13 +44,14 @@ def settle(
     force: bool = False,
     state: DataFrame | None = None,
     batch: str = "",
+    touched: DataFrame | None = None,
 ) -> DataFrame:
     """Decide every event, write what changed, and return the outcomes.
 
     ``add_content`` joins the content columns to the events whose fields stand at the end. Ids and
     times are attached to the slim events before, so content is shuffled once at most.
     """
-    stored = store.stored_articles()
+    stored = touched_rows(store, staged) if touched is None else touched
     outcomes = materialize(upsert_outcomes(staged.select(*EVENT), stored, force))
 
     # Names are kept from every item that reached extraction, written or not.

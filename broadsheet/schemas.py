@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 SITE = """
-name string, domain string, enabled boolean, render boolean, start_urls array<string>,
+name string, domain string, enabled boolean, render boolean, start_urls array<string>, hosts array<string>,
 list_page struct<item_selector: string, item_is_article: boolean, link_selector: string,
                  link_attr: string, wait_for_selector: string>,
 pagination struct<enabled: boolean, next_selector: string, next_attr: string, max_pages: int>,
@@ -21,6 +21,9 @@ featured_image: string, metadata: map<string, array<string>>"""
 DETAIL = f"struct<{FIELDS}, error: string>"
 LISTING = f"""struct<next_href: string,
 items: array<struct<idx: int, href: string, article: struct<{FIELDS}>>>, error: string>"""
+# A page read as both at once; each reading has an error of its own.
+BOTH = f"""struct<next_href: string,
+items: array<struct<idx: int, href: string, article: struct<{FIELDS}>>>, listing_error: string, fields: struct<{FIELDS}>, error: string>"""
 
 SEQ = "struct<site_order: bigint, page_number: bigint, item_idx: bigint>"
 

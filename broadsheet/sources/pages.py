@@ -10,18 +10,13 @@ from ..functions.urls import url_host
 PAGES = "url string, html string"
 
 
-def spread(scan: DataFrame, *keys: str) -> DataFrame:
-    """Shuffle a scan that has fewer splits than the session has cores; a larger one stays as it is.
+def read_pages(spark: SparkSession, path: str, format: str = "parquet", partitions: int | None = None) -> DataFrame:
+    """Any source of ``url, html``, with ``domain`` where the table does not name it.
 
-    Meant for small tables in one or two files, whose rows cost much more than their bytes.
+    ``partitions`` deals the pages out anew, for few and small files whose pages cost more than their bytes.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores, *keys) if scan.rdd.getNumPartitions() < cores else scan
-
-
-def read_pages(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:
-    """Any source of ``url, html``, with ``domain`` where the table does not name it."""
-    return with_domain(spread(spark.read.format(format).load(path), "url"))
+    pages = spark.read.format(format).load(path)
+    return with_domain(pages.repartition(partitions) if partitions else pages)
 
 
 def read_html_files(spark: SparkSession, folder: str, base_url: str, encoding: str = "UTF-8") -> DataFrame:

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.urls import url_host
 from ..schemas import SITE
 
 
@@ -43,21 +44,40 @@ def enabled_sites(sites: DataFrame, only: list[str] | None = None) -> DataFrame:
     return chosen.where(F.col("name").isin(only)) if only else chosen
 
 
+def site_hosts(sites: DataFrame, state: DataFrame | None = None) -> DataFrame:
+    """The hosts whose pages belong to each site: ``domain, host``, one row each.
+
+    Those of its start URLs and of its checkpoint, and any in an optional list ``hosts``. The domain is a label only.
+    """
+    urls = [F.transform(F.coalesce("start_urls", F.array().cast("array<string>")), url_host)] if "start_urls" in sites.columns else []
+    named = [F.coalesce("hosts", F.array().cast("array<string>"))] if "hosts" in sites.columns else []
+    if not urls + named:
+        raise ValueError("sites need start_urls or hosts")
+    found = sites.select("domain", F.explode(F.concat(*urls, *named)).alias("host"))
+    if state is not None:
+        saved = state.join(sites.select("domain"), "domain", "left_semi")
+        found = found.unionByName(saved.select("domain", url_host("last_url").alias("host")))
+    return found.where(F.length("host") > 0).distinct()
+
+
 def read_sites(
     spark: SparkSession, folder: str, only: list[str] | None = None, defaults: Defaults | None = None
 ) -> DataFrame:
     """One row per config file, with ``site`` (its name), ``site_order`` and the raw ``config`` text.
 
     The raw text goes to the extraction, since a parsed row no longer tells an absent key from an
-    explicit null. Files are ordered by name; ids taken after the sort rise with it.
+    explicit null. A file that is not such an object, or names no site, fails the job. Files are ordered by name; ids
+    taken after the sort rise with it.
     """
     defaults = defaults or Defaults()
     files = spark.read.text(f"{folder}/*.json", wholetext=True)
     parsed = files.select(
         F.col("_metadata.file_name").alias("file_name"),
         F.col("value").alias("config"),
-        F.from_json("value", SITE).alias("site"),
+        F.from_json("value", SITE, {"mode": "FAILFAST"}).alias("site"),
     ).select("file_name", "config", "site.*")
+    no_name = F.raise_error(F.concat("file_name", F.lit(" names no site")))
+    parsed = parsed.withColumn("name", F.coalesce("name", no_name.cast("string")))
     ordered = enabled_sites(parsed, only).orderBy("file_name")
     return ordered.withColumns({
         "site": F.col("name"),

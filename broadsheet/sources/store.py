@@ -27,6 +27,9 @@ TABLES = {
 }
 
 
+LOOKUPS = ["categories", "authors", "images"]
+
+
 class Store:
     """One writer at a time, as for any folder of Parquet files."""
 
@@ -62,7 +65,8 @@ class Store:
         return self.stored_articles().drop("written")
 
     def lookup(self, name: str) -> DataFrame:
-        return self._read(name).where(F.col("written") <= self.last_commit()[0]).drop("written")
+        version, base, _ = self.last_commit()
+        return self._read(name).where(F.col("written").between(base, version)).drop("written")
 
     def state(self) -> DataFrame:
         """Small, so it is written whole."""
@@ -72,9 +76,13 @@ class Store:
         return Version(self, self.last_commit())
 
     def compact(self) -> int:
-        """Write the live articles as one new version; earlier files no longer count."""
+        """Write all live rows as one new version; earlier files no longer count, nor do those of a failed run."""
         version = self.begin()
         version.put("articles", self.articles())
+        version.put("superseded", self._read("superseded").drop("written").limit(0))
+        for lookup in LOOKUPS:
+            version.put(lookup, self.lookup(lookup))
+        version.put("state", self.state())
         return version.commit(rebase=True)
 
 

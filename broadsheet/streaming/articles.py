@@ -2,34 +2,40 @@
 
 from __future__ import annotations
 
+import json
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from ..functions.html import detail
+from ..functions.html import check_configs, detail, listing
 from ..functions.urls import article_id
 from ..operators.extract import article_record, items_of, read_listings
 from ..operators.joins import pages_with_site
 from ..operators.upsert import replay_order, skip_known
 from ..plans.crawl import RECORD
-from ..plans.settle import CONTENT, EVENT, settle
+from ..plans.settle import CONTENT, EVENT, settle, touched_rows
 from ..session import materialize
 from ..sources.pages import stream_pages
 from ..sources.store import Store
 
 
-def events_of(pages: DataFrame, sites: DataFrame, known: DataFrame, force: bool) -> DataFrame:
+def events_of(pages: DataFrame, sites: DataFrame, store: Store, force: bool) -> DataFrame:
     """Staged events with their fields: a page is a detail page, or a listing of inline articles.
 
     Known link items are dropped before extraction.
     """
-    of_site = pages_with_site(pages, sites.select("domain", "site", "site_order", "config", "list_page.item_is_article"))
+    hosts = [c for c in ("start_urls", "hosts") if c in sites.columns]
+    of_site = pages_with_site(pages, sites.select("domain", "site", "site_order", "config", "list_page.item_is_article", *hosts))
     is_listing = F.coalesce("item_is_article", F.lit(False))
-    single = of_site.where(~is_listing).withColumns({
+    # A page with items of a site whose items are links is a listing, and never an article.
+    lists = F.get_json_object("config", "$.list_page.item_selector").isNotNull()
+    n_items = F.coalesce(F.size(listing("html", F.col("config"))["items"]), F.lit(0))
+    single = of_site.where(~is_listing).where(~lists | (n_items <= 0)).withColumns({
         "mode": F.lit("link"), "item_url": F.col("url"), "article_id": article_id("url"), "item_idx": F.lit(0),
     })
+    known = touched_rows(store, single)
     read = skip_known(single, known, force).withColumn("fields", detail("html", F.col("config")))
     details = read.withColumn("fetch", F.when(F.col("fields.error").isNull(), "ok").otherwise("failed"))
     details = details.withColumn("fields", F.col("fields").dropFields("error"))
@@ -49,7 +55,7 @@ def write_batch(store: Store, sites: DataFrame, pages: DataFrame, batch: str, fo
     """Upsert one micro-batch. A batch that was committed before a restart is not applied again."""
     if store.has_batch(batch):
         return
-    events = materialize(events_of(pages, sites, store.articles(), force))
+    events = materialize(events_of(pages, sites, store, force))
 
     def add_content(last_events: DataFrame) -> DataFrame:
         key = ["domain", "article_id", "seq"]
@@ -60,17 +66,24 @@ def write_batch(store: Store, sites: DataFrame, pages: DataFrame, batch: str, fo
 
 def stream_articles(
     spark: SparkSession, folder: str, sites: DataFrame, store: Store, checkpoint: str, force: bool = False,
-    name: str = "articles", arrival: str = "arrival", files_per_batch: int = 1000,
+    arrival: str = "arrival", files_per_batch: int = 1000,
 ) -> StreamingQuery:
     """Process the page files not seen yet and stop; a restart goes on after the last finished batch.
 
-    The column ``arrival`` orders the pages of a batch.
+    The column ``arrival`` orders the pages of a batch. Batches are known by the id that the query keeps in its checkpoint,
+    so several streams may feed one store, and a lost checkpoint applies all files again, which changes nothing.
     """
     sites = materialize(sites)
+    check_configs(sites, walks=False)
+
+    def write(batch: DataFrame, number: int) -> None:
+        query_id = json.loads(spark.read.text(f"{checkpoint}/metadata").first()["value"])["id"]
+        write_batch(store, sites, batch, f"{query_id}-{number}", force)
+
     schema = f"url string, html string, {arrival} bigint"
     pages = stream_pages(spark, folder, schema, files_per_batch).withColumnRenamed(arrival, "arrival")
     return (
-        pages.writeStream.foreachBatch(lambda batch, n: write_batch(store, sites, batch, f"{name}-{n}", force))
+        pages.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

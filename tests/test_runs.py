@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from broadsheet.operators.extract import extract_articles, list_items, next_page
 from broadsheet.operators.reports import corpus_export
 from broadsheet.plans.crawl import run
+from broadsheet.session import work_dir
 from broadsheet.sources.pages import read_html_files, read_pages, with_domain
 from broadsheet.sources.sites import Defaults, read_sites, run_defaults
 from broadsheet.sources.store import Store
@@ -179,9 +180,76 @@ def test_stream(spark, sites_dir, tmp_path):
     assert rows["http://q.example/#item-0"].body == "1" and len(rows) == 4
     stream_articles(spark, str(folder), sites, store, str(tmp_path / "checkpoint")).awaitTermination()
     assert store.last_commit()[0] == version + 1
-    # A lost checkpoint replays the batches; those committed are not applied again.
-    stream_articles(spark, str(folder), sites, store, str(tmp_path / "checkpoint2")).awaitTermination()
-    assert {r.url: r.content_hash for r in store.articles().collect()} == {u: r.content_hash for u, r in rows.items()}
+    # A listing of links is not an article.
+    arrive([("http://shop.example/p1.html", listing(1, 2))], 20)
+    assert "http://shop.example/p1.html" not in {r.url for r in store.articles().collect()}
+    # A lost checkpoint applies all files again, which changes nothing, and with them those that arrived meanwhile.
+    checkpoint = "checkpoint2"
+    one = spark.createDataFrame([("http://shop.example/z", detail_page("z"), 50)], "url string, html string, arrival bigint")
+    one.coalesce(1).write.mode("append").parquet(str(folder))
+    stream_articles(spark, str(folder), sites, store, str(tmp_path / checkpoint)).awaitTermination()
+    hashes = {r.url: r.content_hash for r in store.articles().collect()}
+    assert {u: h for u, h in hashes.items() if not u.endswith("/z")} == {u: r.content_hash for u, r in rows.items()} and len(hashes) == 5
+    # A second stream into the same store has batches of its own.
+    other = tmp_path / "other"
+    spark.createDataFrame([("http://shop.example/y", detail_page("y"), 1)], "url string, html string, arrival bigint").write.parquet(str(other))
+    stream_articles(spark, str(other), sites, store, str(tmp_path / "checkpoint3")).awaitTermination()
+    assert "http://shop.example/y" in {r.url for r in store.articles().collect()}
+
+
+def test_failed_pages_are_errors(spark, sites_dir, tmp_path):
+    store, sites = Store(spark, str(tmp_path / "store")), read_sites(spark, sites_dir, only=["shop"])
+    pages = {**shop_pages(2), "http://shop.example/d10.html": None, "http://shop.example/p2.html": None}
+    assert report(run(store, sites, frame(spark, pages))) == {"shop": (2, 0, 0, 1)}
+    assert [r.last_url for r in store.state().collect()] == ["http://shop.example/p2.html"]  # not processed, so it is still to do
+    assert report(run(store, sites, frame(spark, shop_pages(2)))) == {"shop": (2, 0, 1, 0)}
+
+
+def test_configs_are_checked_before_a_run(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    for broken in ({**SHOP, "article": {"title_selector": "li:not(.x)"}}, {k: v for k, v in SHOP.items() if k != "article"}, {**SHOP, "list_page": {}}):
+        folder = tmp_path / str(len(list(tmp_path.iterdir())))
+        folder.mkdir()
+        (folder / "a.json").write_text(json.dumps(broken))
+        with pytest.raises(ValueError):
+            run(store, read_sites(spark, str(folder)), frame(spark, shop_pages()))
+    for text in ('{"name": "x", ', '{"domain": "d"}'):
+        (folder / "a.json").write_text(text)
+        with pytest.raises(Exception):
+            read_sites(spark, str(folder)).collect()
+
+
+def test_domain_is_a_label(spark, tmp_path):
+    (tmp_path / "sites").mkdir()
+    config = {**SHOP, "domain": "example-shop", "start_urls": ["http://shop.example:8080/p1.html"], "hosts": ["www.shop.example"]}
+    (tmp_path / "sites" / "a.json").write_text(json.dumps(config))
+    pages = {u.replace("shop.example", "shop.example:8080"): h for u, h in shop_pages(2).items()}
+    store = Store(spark, str(tmp_path / "store"))
+    assert report(run(store, read_sites(spark, str(tmp_path / "sites")), frame(spark, pages))) == {"shop": (5, 0, 1, 0)}
+    assert {r.domain for r in store.articles().collect()} == {"example-shop"}
+
+
+def test_compaction_after_a_failed_run(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    rows = spark.createDataFrame([(1, "d", "kept")], "id bigint, domain string, name string")
+    first = store.begin()
+    first.put("categories", rows)
+    first.commit()
+    store.begin().put("categories", rows.withColumn("name", F.lit("phantom")))  # never committed
+    assert store.compact() == 2
+    assert [r.name for r in store.lookup("categories").collect()] == ["kept"]
+
+
+def test_work_folder_on_a_cluster():
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default: None)
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError):
+        work_dir(Session)
 
 
 def test_page_sources(spark, tmp_path):

@@ -1,5 +1,7 @@
 """Joins with a hot key are split at run time, and stay whole."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,3 +74,32 @@ def test_export_of_a_hot_category(spark, small_limits):
     assert len({r.n for r in rows}) == len(rows) == ROWS
     assert all(r.category and r.featured_image and r.author is None for r in rows)
     assert "skew=true" in plan
+
+
+def test_a_run_moves_no_html_and_parses_once(spark):
+    """Pages are parsed where they are scanned: one Python node, and no exchange with their html."""
+    from broadsheet.plans.crawl import parse_pages
+
+    site = {"list_page": {"item_selector": "li", "link_selector": "a"}, "article": {"title_selector": "h1"}}
+    sites = spark.createDataFrame([("s", "label", json.dumps(site), ["http://h/1"])], "site string, domain string, config string, start_urls array<string>")
+    state = spark.createDataFrame([], "domain string, last_url string, last_page int, updated_at timestamp")
+    pages = materialize(spark.createDataFrame([("http://h/1", "<li><a href=2>x</a>"), ("http://h/2", "<h1>t</h1>"), ("http://other/", "y")], "url string, html string"))
+    parsed = parse_pages(pages, sites, state)
+    plan = parsed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert not [line for line in plan.splitlines() if "Exchange hash" in line and "html" in line]
+    assert {r.url: (r.title, r.fetch, len(r["items"] or [])) for r in parsed.collect()} == {"http://h/1": (None, "ok", 1), "http://h/2": ("t", "ok", 0)}
+
+
+def test_upsert_asks_the_store_for_the_batch_only(spark, tmp_path):
+    from broadsheet.plans.settle import touched_rows
+    from broadsheet.sources.store import Store
+
+    store = Store(spark, str(tmp_path / "store"))
+    events = spark.createDataFrame([("d", "a1")], "domain string, article_id string")
+    assert touched_rows(store, events).collect() == []
+    columns = ", ".join(f"CAST(NULL AS {t}) AS {n}" for n, t in (("title", "string"), ("slug", "string"), ("body", "string"), ("published_at", "string"), ("category_id", "bigint"), ("author_id", "bigint"), ("featured_image_id", "bigint"), ("metadata", "map<string,array<string>>"), ("url", "string")))
+    version = store.begin()
+    version.put("articles", spark.sql(f"SELECT 'd' AS domain, concat('a', id) AS article_id, {columns}, 'h' AS content_hash, timestamp '2024-01-01' AS scraped_at, timestamp '2024-01-01' AS updated_at FROM range(5)"))
+    version.commit()
+    assert [(r.article_id, r.content_hash, r.written) for r in touched_rows(store, events).collect()] == [("a1", "h", 1)]
