@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, materialize_counted
 
 
 def effective_cap(max_pages: Column, start_page: Column) -> Column:
@@ -31,7 +31,7 @@ def page_chain(edges: DataFrame, starts: DataFrame, max_pages: int | None = None
     no cap, at the first page seen before.
 
     Links are followed by doubling: round k adds the pages 2^k hops further on, so a chain of n
-    pages takes log2(n) rounds of joins. Each round is written out, which keeps plans short.
+    pages takes log2(n) rounds of joins. Each round is one written table, which keeps plans short.
     """
     own = edges.select("site", "url", F.when(F.col("next_url") != F.col("url"), F.col("next_url")).alias("next_url"))
     fetched = own.select("site", F.col("url").alias("target"))
@@ -51,11 +51,14 @@ def page_chain(edges: DataFrame, starts: DataFrame, max_pages: int | None = None
         capped = further.where(F.col("page_number") <= F.col("cap"))
         unseen = further.where(F.col("cap").isNull()).join(reached, ["site", "url"], "left_anti")
         free = unseen.groupBy("site", "url").agg(F.min("page_number").alias("page_number"), F.max("cap").alias("cap"))
-        found = materialize(capped.unionByName(free))
-        if found.isEmpty():
-            break
-        reached = reached.unionByName(found)
+        found = capped.unionByName(free).withColumn("target", F.lit(None).cast("string"))
         ahead = hops.select("site", F.col("url").alias("target"), F.col("target").alias("beyond"))
-        hops = materialize(hops.join(ahead, ["site", "target"]).select("site", "url", F.col("beyond").alias("target")))
+        doubled = hops.join(ahead, ["site", "target"]).select("site", "url", F.col("beyond").alias("target"))
+        # both results of a round in one table: pages have a number, hops a target
+        both, n_found = materialize_counted(found.unionByName(doubled, allowMissingColumns=True), "page_number IS NOT NULL")
+        if not n_found:
+            break
+        reached = reached.unionByName(both.where("page_number IS NOT NULL").drop("target"))
+        hops = both.where("target IS NOT NULL").select("site", "url", "target")
         distance *= 2
     return reached.join(own, ["site", "url"]).select("site", "page_number", "url", "next_url")

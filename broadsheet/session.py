@@ -8,7 +8,8 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app: str = "broadsheet", master: str | None = None, **conf: str) -> SparkSession:
@@ -55,6 +56,13 @@ def work_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def materialize_counted(df: DataFrame, condition: str) -> tuple[DataFrame, int]:
+    """``materialize``, and how many rows meet the condition, counted while they are written."""
+    seen = Observation()
+    table = materialize(df.observe(seen, F.count_if(F.expr(condition)).alias("n")))
+    return table, seen.get["n"]
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
