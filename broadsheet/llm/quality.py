@@ -59,7 +59,9 @@ def _n_repeat_words(hashes: Column) -> Column:
 
     def of(v: Column) -> Column:
         packed = F.zip_with(v.windows, F.sequence(F.lit(0).cast("long"), F.size(v.windows).cast("long") - 1), lambda h, i: F.call_function("shiftleft", h, v.bits).bitwiseOR(i))
-        return _let(F.sort_array(packed), lambda s: covered(v, s))
+        # most texts repeat no window and need no sort
+        once = F.size(F.array_distinct(v.windows)) == F.size(v.windows)
+        return F.when(once, F.lit(0).cast("long")).otherwise(_let(F.sort_array(packed), lambda s: covered(v, s)))
 
     def covered(v: Column, s: Column) -> Column:
         prefix = lambda x: F.call_function("shiftrightunsigned", x, v.bits)
