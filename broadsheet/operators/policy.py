@@ -38,26 +38,16 @@ def rules_per_origin(rules: DataFrame, agent: str) -> DataFrame:
     token = agent.split("/")[0].lower()
     named = F.lit(token).contains(F.lower("agent"))
     rows = rules.where((F.col("agent") == "*") | named)
-    listed = rows.groupBy("origin").agg(
-        F.collect_list(F.struct("entry_no", "agent", "rule_no", "path", "allow")).alias("rows")
+    groups = rows.groupBy("origin", "entry_no").agg(F.bool_or(F.col("agent") == "*").alias("for_all"))
+    by_name = F.min(F.when(~F.col("for_all"), F.col("entry_no")))
+    picked = groups.groupBy("origin").agg(F.coalesce(by_name, F.min("entry_no")).alias("entry_no"))
+    rule = F.struct(
+        "rule_no",
+        _percent_encoded(F.col("path")).alias("path"),
+        (F.col("allow") | (F.col("path") == "")).alias("allow"),
     )
-    any_agent = F.transform(F.filter("rows", lambda r: r["agent"] == "*"), lambda r: r["entry_no"])
-    by_name = F.filter("rows", lambda r: ~F.array_contains(F.col("any_agent"), r["entry_no"]))
-    pick = F.coalesce(
-        F.array_min(F.transform("by_name", lambda r: r["entry_no"])), F.array_min("any_agent")
-    )
-    ordered = F.array_sort(
-        F.transform(
-            F.filter("rows", lambda r: r["entry_no"] == F.col("pick")),
-            lambda r: F.struct(
-                r["rule_no"].alias("rule_no"),
-                _percent_encoded(r["path"]).alias("path"),
-                (r["allow"] | (r["path"] == "")).alias("allow"),
-            ),
-        )
-    )
-    listed = listed.withColumn("any_agent", any_agent).withColumn("by_name", by_name).withColumn("pick", pick)
-    return listed.select("origin", ordered.alias("rules"))
+    # only the rules of the one group are brought together
+    return rows.join(picked, ["origin", "entry_no"]).groupBy("origin").agg(F.sort_array(F.collect_list(rule)).alias("rules"))
 
 
 def url_policy(urls: DataFrame, rules: DataFrame, agent: str, enabled: bool = True) -> DataFrame:
