@@ -200,7 +200,8 @@ def components(links: DataFrame) -> DataFrame:
     state = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        # written, so that the join with it can be split where a node has very many links
+        least = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
         edges = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = materialize(edges.filter("a <> b").distinct())
         least = edges.groupBy("a").agg(F.min("b").alias("m"))
