@@ -609,21 +609,38 @@ def q_run_articles(spark, sf):
     return _run_articles(store)
 
 
-def q_stream_articles(spark, sf):
-    from ..streaming.articles import stream_articles
-
-    store = _new_store(spark)
+def _stream_sites(spark: SparkSession, sf: str) -> DataFrame:
+    """One site per host, its pages being articles."""
     hosts = _pages(spark, sf).select(url_host("url").alias("site")).distinct()
-    sites = hosts.select(
+    return hosts.select(
         "site", F.lit(0).cast("bigint").alias("site_order"), F.col("site").alias("domain"), F.lit(json.dumps(DETAIL)).alias("config"),
         F.array(F.concat(F.lit("http://"), "site", F.lit("/"))).alias("start_urls"),
         F.struct(F.lit(False).alias("item_is_article")).alias("list_page"),
     )
-    query = stream_articles(spark, f"{sf}/pages*.parquet", sites, store, f"{store.root}/checkpoint", arrival="page_id")
+
+
+def q_stream_articles(spark, sf):
+    from ..streaming.articles import stream_articles
+
+    store = _new_store(spark)
+    query = stream_articles(spark, f"{sf}/pages*.parquet", _stream_sites(spark, sf), store, f"{store.root}/checkpoint", arrival="page_id")
     query.awaitTermination()
     return _run_articles(store)
 
 
+def q_stream_resume(spark, sf):
+    """Pages that arrive in two parts: the stream stops after the first and goes on with the second."""
+    from ..streaming.articles import stream_articles
+
+    store, folder = _new_store(spark), f"{work_dir(spark)}/arrivals-{uuid.uuid4().hex}"
+    pages = _table(spark, sf, "pages").select("url", "html", F.col("page_id").alias("arrival"))
+    first = F.coalesce(F.col("url").startswith("https:"), F.lit(False))
+    for part in (pages.where(first), pages.where(~first)):
+        part.write.mode("append").parquet(folder)
+        stream_articles(spark, folder, _stream_sites(spark, sf), store, f"{store.root}/checkpoint").awaitTermination()
+    return _run_articles(store)
+
+
 def q_read_store(spark, sf):
     """Rows written by two versions, read back: the second replaces the https articles."""
     store = _new_store(spark)
