@@ -46,14 +46,17 @@ def ship(spark: SparkSession) -> SparkSession:
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; a temporary one only in local mode, where none is set."""
+    """This application's part of the shared folder that the cluster names, so that a retention rule can tell old ones.
+
+    A temporary folder only in local mode, where none is set.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="broadsheet-")
         spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    return f"{folder.rstrip('/')}/{spark.sparkContext.applicationId}"
 
 
 def materialize_counted(df: DataFrame, condition: str) -> tuple[DataFrame, int]:
