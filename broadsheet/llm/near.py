@@ -77,11 +77,11 @@ def sketch(sequence: np.ndarray) -> np.ndarray:
     return np.concatenate(keys)
 
 
-def _sequences(texts: pa.Array) -> Iterator[np.ndarray]:
+def _word_lists(texts: pa.Array) -> Iterator[np.ndarray]:
     words, counts = text_words(texts, WHITE)
     ends = np.cumsum(counts)
     for end, n in zip(ends, counts):
-        yield shingles(words[end - n : end])
+        yield words[end - n : end]
 
 
 def _pieces(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
@@ -92,15 +92,18 @@ def _pieces(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in _pieces(whole):
-            keys = np.concatenate([sketch(s) for s in _sequences(batch.column("text"))]).view(np.int64)
+            sequences = [shingles(w) for w in _word_lists(batch.column("text"))]
+            keys = np.concatenate([sketch(s) for s in sequences]).view(np.int64)
             lists = pa.ListArray.from_arrays(np.arange(0, len(keys) + 1, SKETCHES, dtype=np.int32), keys)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), lists], names=["doc_id", "digest", "keys"])
+            sizes = pa.array([len(s) for s in sequences], pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), sizes, lists], names=["doc_id", "digest", "size", "keys"])
 
 
 def _stored_sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in _pieces(whole):
-            out = [s.tobytes() for s in _sequences(batch.column("text"))]
+            # half of each word's hash: five of them in a row make a shingle
+            out = [(w >> np.uint64(32)).astype(np.uint32).tobytes() for w in _word_lists(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(out, pa.binary())], names=["node", "sequence"])
 
 
@@ -161,7 +164,7 @@ def similarity(a: np.ndarray, b: np.ndarray, threshold: float = SIMILARITY) -> f
 def _verify(threshold: float):
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            read = lambda c: [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(c)]
+            read = lambda c: (shingles(np.frombuffer(x.as_buffer(), np.uint32).astype(np.uint64)) for x in batch.column(c))
             linked = [similarity(a, b, threshold) > 0 for a, b in zip(read("sequence"), read("pivot_sequence"))]
             yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("pivot")], names=["node", "pivot"]).filter(pa.array(linked, pa.bool_()))
 
@@ -176,18 +179,21 @@ def _written(df: DataFrame) -> tuple[DataFrame, dict]:
     return table, seen.get
 
 
-def _pairs(members: DataFrame, round_no: int) -> DataFrame:
-    """node, pivot: the members (key, node, root, central) of every bucket with its ``PIVOTS`` pivots, across components.
+def _pairs(members: DataFrame, round_no: int, threshold: float) -> DataFrame:
+    """node, pivot: the members (key, node, size, root, central) of every bucket with its ``PIVOTS`` pivots, across components.
+
+    Sizes too different for the threshold make no pair.
 
     A hash of node and key cuts a bucket into classes; the most central member of each, then the one with the largest hash, is
     a pivot. So a bucket gives as many pairs as it has members times the number of pivots, and each maximum combines map-side.
     """
     kind = F.pmod(F.xxhash64(F.lit(round_no), "key", "node"), F.lit(PIVOTS))
-    best = F.struct("central", F.xxhash64(F.lit(round_no), "node").alias("h"), "node", "root")
+    best = F.struct("central", F.xxhash64(F.lit(round_no), "node").alias("h"), "node", "size", "root")
     pivots = members.groupBy("key").agg(
         F.array_compact(F.array(*(F.max(F.when(kind == i, best)) for i in range(PIVOTS)))).alias("pivots"), F.min("root").alias("low"), F.max("root").alias("high")
     )
-    met = members.join(pivots.filter("low <> high"), "key").select("node", "root", F.explode("pivots").alias("p")).filter("root <> p.root")
+    met = members.join(pivots.filter("low <> high"), "key").select("node", "size", "root", F.explode("pivots").alias("p")).filter("root <> p.root")
+    met = met.filter(F.least("size", "p.size") >= threshold * F.greatest("size", "p.size") - 1e-9)
     return met.select(F.greatest("node", "p.node").alias("node"), F.least("node", "p.node").alias("pivot")).distinct()
 
 
@@ -222,24 +228,26 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = SIMILARITY) -> Da
     """
     digest = F.unhex(F.md5(F.coalesce("text", F.lit(""))))
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), digest.alias("digest"))
-    sketched = materialize(rows.mapInArrow(_sketches, "doc_id long, digest binary, keys array<long>"))
+    sketched = materialize(rows.mapInArrow(_sketches, "doc_id long, digest binary, size int, keys array<long>"))
     # one node per text, numbered once and for all
-    texts = sketched.groupBy("digest").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"), F.min_by("keys", F.coalesce("doc_id", F.lit(2**63 - 1)).cast("long")).alias("keys"))
-    nodes = materialize(texts.select("digest", "least", "keys", F.monotonically_increasing_id().alias("node")))
+    texts = sketched.groupBy("digest").agg(F.min("doc_id").alias("least"), F.min("size").alias("size"), F.min_by("keys", F.coalesce("doc_id", F.lit(2**63 - 1)).cast("long")).alias("keys"))
+    nodes = materialize(texts.select("digest", "least", "size", "keys", F.monotonically_increasing_id().alias("node")))
 
-    keyed = nodes.select("node", F.explode("keys").alias("key"))
+    keyed = nodes.select("node", "size", F.explode("keys").alias("key"))
     sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    shared = materialize(keyed.join(sizes, "key").select("key", "node", "n"))
+    shared = materialize(keyed.join(sizes, "key").select("key", "node", "size", "n"))
     # the text in the middle of a group of copies shares the most keys
     central = shared.groupBy("node").agg(F.sum("n").alias("central"))
-    shared = materialize(shared.select("key", "node").join(central, "node"))
-    pairs = materialize(_pairs(shared.select("key", "node", F.col("node").alias("root"), "central"), 0))
-    chosen = nodes.join(shared.select("node").distinct(), "node").select("node", "digest", "least")
-    found = rows.join(chosen, (rows.digest == chosen.digest) & rows.doc_id.eqNullSafe(chosen.least)).select("node", "text")
-    sequences = materialize(found.mapInArrow(_stored_sequences, "node long, sequence binary").dropDuplicates(["node"]))
+    shared = materialize(shared.select("key", "node", "size").join(central, "node"))
+    pairs = materialize(_pairs(shared.select("key", "node", "size", F.col("node").alias("root"), "central"), 0, threshold))
+    # one row of each text; equal rows are next to each other after the join, so dropping them moves nothing
+    none = F.lit(-(2**63)).cast("long")
+    chosen = nodes.join(shared.select("node").distinct(), "node").select("node", "digest", F.coalesce("least", none).alias("id"))
+    found = rows.select("digest", F.coalesce("doc_id", none).alias("id"), "text").join(chosen, ["digest", "id"]).dropDuplicates(["digest", "id"])
+    sequences = materialize(found.select("node", "text").mapInArrow(_stored_sequences, "node long, sequence binary"))
     pivots = sequences.select(F.col("node").alias("pivot"), F.col("sequence").alias("pivot_sequence"))
 
-    roots, round_no = None, 0
+    roots, round_no, tested = None, 0, pairs
     while True:
         compared = pairs.join(sequences, "node").join(pivots, "pivot").select("node", "pivot", "sequence", "pivot_sequence")
         linked, stats = _written(compared.mapInArrow(_verify(threshold), "node long, pivot long").select(F.col("node").alias("a"), F.col("pivot").alias("b")))
@@ -249,10 +257,11 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = SIMILARITY) -> Da
         roots = components(known)
         # buckets that still hold several components: other pivots
         round_no += 1
-        placed = shared.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"), F.lit(0).cast("long").alias("central"))
-        pairs, stats = _written(_pairs(placed, round_no))
+        placed = shared.join(roots, "node", "left").select("key", "node", "size", F.coalesce("root", "node").alias("root"), F.lit(0).cast("long").alias("central"))
+        pairs, stats = _written(_pairs(placed, round_no, threshold).join(tested, ["node", "pivot"], "left_anti"))
         if not stats["n"]:
             break
+        tested = tested.unionByName(pairs)
 
     classes = nodes.join(roots, "node", "left").select("digest", "least", F.coalesce("root", "node").alias("root"))
     named = classes.groupBy("root").agg(F.min("least").alias("class_id"))
