@@ -4,7 +4,8 @@ A text is the sequence of its five-word shingles, each labelled with how often i
 seeds, the ``SAMPLED`` labelled shingles with the smallest hashes are taken in text order; their hash is a key. Texts that
 agree in most shingles *and* their order share keys. In each bucket of equal keys the texts are compared with ``PIVOTS`` pivots, the
 most central ones first, so the pairs grow with the texts, not with the squares of the buckets; while rounds find links and buckets
-still hold several components, further rounds take other pivots. Similarity is ``m / (n1 + n2 - m)`` with the m shingles that an alignment of both sequences matches: Jaccard
+still hold several components, further rounds take other pivots. What buckets then still hold apart is settled exactly: their
+texts meet by a prefix filter over all their shingles, and every pair it leaves is compared. Similarity is ``m / (n1 + n2 - m)`` with the m shingles that an alignment of both sequences matches: Jaccard
 similarity that also asks for the order. The alignment is banded: beyond the band no alignment can reach the threshold.
 
 Equal texts are collapsed first, and links are joined to classes by star contraction over tables in the shared folder.
@@ -18,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..session import materialize
 from .words import WHITE, mix, text_words
@@ -107,6 +109,17 @@ def _stored_sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(out, pa.binary())], names=["node", "sequence"])
 
 
+def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """node, root, size, token: a row for each labelled shingle."""
+    for whole in batches:
+        for batch in _pieces(whole, 32):
+            sequences = [shingles(np.frombuffer(x.as_buffer(), np.uint32).astype(np.uint64)) for x in batch.column("sequence")]
+            sizes = np.array([len(s) for s in sequences], np.int32)
+            tokens = np.concatenate([mix(s + _occurrence(s) * _STEP) for s in sequences]).view(np.int64)
+            each = lambda c: np.repeat(batch.column(c).to_numpy(), sizes)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (each("node"), each("root"), np.repeat(sizes, sizes), tokens)], names=["node", "root", "size", "token"])
+
+
 def _matched_bound(a: np.ndarray, b: np.ndarray) -> int:
     """Shingles that both sequences have, in any order, with repeats: no alignment matches more."""
     va, ca = np.unique(a, return_counts=True)
@@ -197,6 +210,37 @@ def _pairs(members: DataFrame, round_no: int, threshold: float) -> DataFrame:
     return met.select(F.greatest("node", "p.node").alias("node"), F.least("node", "p.node").alias("pivot")).distinct()
 
 
+def _exact_pairs(members: DataFrame, sequences: DataFrame, threshold: float) -> DataFrame:
+    """node, pivot: pairs across components of ``members`` (node, root), among them all that reach the threshold.
+
+    A prefix filter: if the shingles of all texts have one order, two similar texts share a shingle among their first few. The order puts
+    those first that only one component has, which make no pair, then rare ones. For the shorter text of a pair fewer suffice than
+    for the longer one. Components meet before their texts do, so texts that are already together make no rows.
+    """
+    read = members.join(sequences, "node").select("node", "root", "sequence")
+    tokens = materialize(read.mapInArrow(_labelled, "node long, root long, size int, token long"))
+
+    def across(table: DataFrame) -> DataFrame:
+        ends = table.groupBy("token").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+        return materialize(ends.filter("low <> high").select("token", "n"))
+
+    own = Window.partitionBy("node")
+    place = F.col("size") - F.count("*").over(own) + F.row_number().over(own.orderBy("n", "token")) - 1
+    placed = tokens.join(across(tokens), "token").withColumn("place", place)
+    first = F.col("place") <= F.col("size") - F.ceil(threshold * F.col("size") - 1e-9)
+    prefixes = materialize(placed.filter(first).select("node", "root", "size", "token", "place"))
+    indexed = F.col("place") <= F.col("size") - F.ceil(2 * threshold / (1 + threshold) * F.col("size") - 1e-9)
+    prefixes = materialize(prefixes.join(across(prefixes), "token").select("node", "root", "size", "token", "place", indexed.alias("indexed")))
+    groups = prefixes.groupBy("token", "root").agg(F.max("indexed").alias("indexed"))
+    met = groups.filter("indexed").select("token", "root").join(groups.select("token", F.col("root").alias("p_root")), "token").filter("root <> p_root")
+    longer = prefixes.select("token", *(F.col(c).alias(f"p_{c}") for c in ("node", "root", "size", "place")))
+    pairs = materialize(met).join(prefixes.filter("indexed"), ["token", "root"]).join(longer, ["token", "p_root"])
+    least = threshold / (1 + threshold) * (F.col("size") + F.col("p_size")) - 1e-9
+    # no more than what follows the first common shingle can match
+    pairs = pairs.filter((F.col("size") <= F.col("p_size")) & (F.least(F.col("size") - F.col("place"), F.col("p_size") - F.col("p_place")) >= least))
+    return pairs.select(F.greatest("node", "p_node").alias("node"), F.least("node", "p_node").alias("pivot")).distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, root for every node of ``links`` (a long, b long): root is the smallest node of the component.
 
@@ -247,14 +291,19 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = SIMILARITY) -> Da
     sequences = materialize(found.select("node", "text").mapInArrow(_stored_sequences, "node long, sequence binary"))
     pivots = sequences.select(F.col("node").alias("pivot"), F.col("sequence").alias("pivot_sequence"))
 
+    def links(pairs: DataFrame) -> tuple[DataFrame, dict]:
+        compared = pairs.join(sequences, "node").join(pivots, "pivot").select("node", "pivot", "sequence", "pivot_sequence")
+        return _written(compared.mapInArrow(_verify(threshold), "node long, pivot long").select(F.col("node").alias("a"), F.col("pivot").alias("b")))
+
+    def joined(linked: DataFrame) -> DataFrame:
+        return components(linked if roots is None else linked.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+
     roots, round_no, tested = None, 0, pairs
     while True:
-        compared = pairs.join(sequences, "node").join(pivots, "pivot").select("node", "pivot", "sequence", "pivot_sequence")
-        linked, stats = _written(compared.mapInArrow(_verify(threshold), "node long, pivot long").select(F.col("node").alias("a"), F.col("pivot").alias("b")))
+        linked, stats = links(pairs)
         if not stats["n"] and roots is not None:
             break
-        known = linked if roots is None else linked.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
-        roots = components(known)
+        roots = joined(linked)
         # buckets that still hold several components: other pivots
         round_no += 1
         placed = shared.join(roots, "node", "left").select("key", "node", "size", F.coalesce("root", "node").alias("root"), F.lit(0).cast("long").alias("central"))
@@ -263,6 +312,16 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = SIMILARITY) -> Da
             break
         tested = tested.unionByName(pairs)
 
+    # what the pivots left apart; in a bucket of two they were compared
+    placed = materialize(shared.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root")))
+    apart = placed.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).filter("n > 2 AND low <> high")
+    members, stats = _written(placed.join(apart.select("key"), "key").select("node", "root").distinct())
+    if stats["n"]:
+        pairs, stats = _written(_exact_pairs(members, sequences, threshold).join(tested, ["node", "pivot"], "left_anti"))
+        if stats["n"]:
+            linked, stats = links(pairs)
+            roots = joined(linked) if stats["n"] else roots
+
     classes = nodes.join(roots, "node", "left").select("digest", "least", F.coalesce("root", "node").alias("root"))
     named = classes.groupBy("root").agg(F.min("least").alias("class_id"))
     by_digest = classes.join(named, "root").select("digest", "class_id")
