@@ -5,7 +5,8 @@ seeds, the ``SAMPLED`` labelled shingles with the smallest hashes are taken in t
 agree in most shingles *and* their order share keys. In each bucket of equal keys the texts are compared with ``PIVOTS`` pivots, the
 most central ones first, so the pairs grow with the texts, not with the squares of the buckets; while rounds find links and buckets
 still hold several components, further rounds take other pivots. What buckets then still hold apart is settled exactly: their
-texts meet by a prefix filter over all their shingles, and every pair it leaves is compared. Similarity is ``m / (n1 + n2 - m)`` with the m shingles that an alignment of both sequences matches: Jaccard
+texts meet by a prefix filter over all their shingles, and every pair it leaves is compared. So do all short texts, for which
+sketches are too coarse. Similarity is ``m / (n1 + n2 - m)`` with the m shingles that an alignment of both sequences matches: Jaccard
 similarity that also asks for the order. The alignment is banded: beyond the band no alignment can reach the threshold.
 
 Equal texts are collapsed first, and links are joined to classes by star contraction over tables in the shared folder.
@@ -26,9 +27,11 @@ from .words import WHITE, mix, text_words
 
 SHINGLE = 5
 SIMILARITY = 0.8
-#: With 5 sampled of 32, a pair at similarity 0.8 shares no key with a probability of about 3e-6.
+#: With 5 sampled of 32, a long pair at similarity 0.8 shares no key with a probability of about 3e-6, the shortest above ``SHORT`` 2e-5.
 SKETCHES = 32
 SAMPLED = 5
+#: Pairs with a text of at most so many shingles are found exactly.
+SHORT = 20
 PIVOTS = 4
 _SEEDS = np.random.default_rng(7).integers(1, 2**63, (2, SKETCHES), dtype=np.uint64)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -286,7 +289,8 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = SIMILARITY) -> Da
     pairs = materialize(_pairs(shared.select("key", "node", "size", F.col("node").alias("root"), "central"), 0, threshold))
     # one row of each text; equal rows are next to each other after the join, so dropping them moves nothing
     none = F.lit(-(2**63)).cast("long")
-    chosen = nodes.join(shared.select("node").distinct(), "node").select("node", "digest", F.coalesce("least", none).alias("id"))
+    short = nodes.filter(F.col("size") <= int(SHORT / threshold + 1e-9)).select("node")
+    chosen = nodes.join(shared.select("node").unionByName(short).distinct(), "node").select("node", "digest", F.coalesce("least", none).alias("id"))
     found = rows.select("digest", F.coalesce("doc_id", none).alias("id"), "text").join(chosen, ["digest", "id"]).dropDuplicates(["digest", "id"])
     sequences = materialize(found.select("node", "text").mapInArrow(_stored_sequences, "node long, sequence binary"))
     pivots = sequences.select(F.col("node").alias("pivot"), F.col("sequence").alias("pivot_sequence"))
@@ -315,7 +319,9 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = SIMILARITY) -> Da
     # what the pivots left apart; in a bucket of two they were compared
     placed = materialize(shared.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root")))
     apart = placed.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).filter("n > 2 AND low <> high")
-    members, stats = _written(placed.join(apart.select("key"), "key").select("node", "root").distinct())
+    members = placed.join(apart.select("key"), "key").select("node", "root")
+    members = members.unionByName(short.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root")))
+    members, stats = _written(members.distinct())
     if stats["n"]:
         pairs, stats = _written(_exact_pairs(members, sequences, threshold).join(tested, ["node", "pivot"], "left_anti"))
         if stats["n"]:

@@ -127,3 +127,14 @@ def test_pairs_inside_a_bucket_of_a_shared_passage(spark, docs):
     want = by_similarity(rows)
     assert set(want.values()) == set(range(0, 160, 2))
     assert {r.doc_id: r.class_id for r in near_duplicate_classes(docs(rows)).collect()} == want
+
+
+def test_short_texts(spark, docs):
+    words = lambda k, n: [f"k{k}w{i}" for i in range(n)]
+    rows = [(1, " ".join(words(1, 8))), (2, " ".join(words(1, 9))), (3, " ".join(["before"] + words(2, 8))), (4, " ".join(words(2, 8)))]
+    rows += [(5, " ".join(words(3, 8))), (6, " ".join(words(3, 7) + ["other"])), (7, " ".join(words(4, 24))), (8, " ".join(words(4, 29))), (9, "a b"), (10, "a  b"), (11, "a c")]
+    for k in range(10, 40):  # sizes around those of a sketch, at 0.8 and just below
+        rows += [(100 * k + i, " ".join(words(k, 8 + k % 6 + i))) for i in (0, 1, 3)]
+    got = {r.doc_id: r.class_id for r in near_duplicate_classes(docs(rows)).collect()}
+    assert got == by_similarity(rows)
+    assert [got[i] for i in range(1, 12)] == [1, 1, 3, 3, 5, 6, 7, 7, 9, 9, 11]
