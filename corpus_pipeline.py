@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,12 +42,23 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document once at least, small sources as often as the weights ask, in the order of the mixture's rows."""
-    return mix_sources(docs).select(*docs.columns)
+    order = ["mix_progress", "doc_id"]
+    return mix_sources(docs).repartitionByRange(*order).sortWithinPartitions(*order).select(*docs.columns)
+
+
+def _as_written(docs: DataFrame) -> DataFrame:
+    """doc_id and text in the order in which the tasks that wrote ``docs`` had them: readers deal files by size. A table that is not of files stays as it is."""
+    try:
+        placed = docs.select("doc_id", "text", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at"))
+    except AnalysisException:
+        return docs
+    order = [F.regexp_extract("file", r"part-(\d+)", 1).try_cast("long"), F.col("file"), F.col("at")]
+    return placed.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows of token ids."""
-    return pack_tokens(docs)
+    """Rows of token ids, packed in the order in which the rows of ``docs`` were written."""
+    return pack_tokens(_as_written(docs))
 
 
 STAGES = [

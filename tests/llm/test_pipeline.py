@@ -1,9 +1,12 @@
+from functools import partial
+
 import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from broadsheet.llm.mixing import mix_sources
 from broadsheet.llm.near import similarity
-from broadsheet.llm.packing import RANKS, _encoding
+from broadsheet.llm.packing import RANKS, _encoding, pack_tokens
 from broadsheet.session import materialize
 from test_near import sequence
 from test_phrases import brute
@@ -51,3 +54,38 @@ def test_run_equals_its_stages(spark, small):
     whole = corpus_pipeline.run(spark, small)
     ids = lambda df: sorted(r[0] for r in df.select(F.explode("doc_ids")).collect())
     assert whole.columns == docs.columns and ids(whole) == ids(docs)
+
+
+def test_blocks_hold_the_weights_in_order(spark, monkeypatch):
+    source = lambda i: "a" if i < 6000 else "b" if i < 7500 else "c"
+    rows = [(i, " ".join(f"w{(i * 31 + j * j) % 997}" for j in range(30)), source(i)) for i in range(8000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    monkeypatch.setattr(corpus_pipeline, "pack_tokens", partial(pack_tokens, block_tokens=20_000))
+    conf = {"spark.sql.shuffle.partitions": "5", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        mixed = materialize(corpus_pipeline.mix(spark, docs, ""))
+        packed = corpus_pipeline.pack(spark, mixed, "").select("block", "cu_seqlens", "doc_ids").collect()
+        uses = mix_sources(docs).select("doc_id", "source", "mix_epoch", "mix_progress").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    blocks = {}
+    for r in packed:
+        for doc, a, b in zip(r.doc_ids, r.cu_seqlens, r.cu_seqlens[1:]):
+            blocks.setdefault(r.block, []).append((doc, b - a))
+    share = lambda pieces, s: sum(n for d, n in pieces if source(d) == s) / sum(n for _, n in pieces)
+    every = [p for pieces in blocks.values() for p in pieces]
+    whole = [pieces for pieces in blocks.values() if sum(n for _, n in pieces) >= 20_000]
+    assert len(whole) >= 10
+    for pieces in whole:
+        for s in "abc":
+            assert abs(share(pieces, s) - share(every, s)) < 0.03
+    # the blocks follow each other as the mixture does; documents of the large source come once
+    at = {r.doc_id: r.mix_progress for r in uses if r.source == "a"}
+    assert {r.mix_epoch for r in uses if r.source == "a"} == {0} and len(at) == 6000
+    spans = [[at[d] for d, _ in blocks[k] if d in at] for k in sorted(blocks)]
+    spans = [(min(s), max(s)) for s in spans if s]
+    assert all(x[1] < y[0] for x, y in zip(spans, spans[1:]))
