@@ -29,10 +29,10 @@ NEGATIVES = 5
 #: A negative scores from so many hundredths of its positive's score up to that score.
 LEAST_SHARE = 80
 #: Members of a block: a 64th of all within these bounds, so that many tasks share them and one holds them.
-BLOCK_ROWS = (512, 65536)
+BLOCK_ROWS = (4096, 65536)
 ANCHOR_ROWS = 512
-#: How far the lists are read first; each further step doubles the depth.
-FIRST_DEPTH = 32
+#: The share of the lists that is read first; each further step doubles the depth.
+FIRST_STEP = 16
 #: Sums up to these are whole numbers in 32 and 64 bits of floating point.
 _EXACT = ((1 << 24, np.float32), (1 << 53, np.float64))
 _LOW, _HIGH = -(1 << 63), (1 << 63) - 1
@@ -127,7 +127,7 @@ class Scoring:
 
 
 def threshold_search(
-    block: Block, anchor: np.ndarray, takes: np.ndarray, windows: list[tuple[int, int]], k: int, first_depth: int = FIRST_DEPTH
+    block: Block, anchor: np.ndarray, takes: np.ndarray, windows: list[tuple[int, int]], k: int, first_step: int = FIRST_STEP
 ) -> tuple[list[tuple[np.ndarray, np.ndarray]], int]:
     """For each window the scores and ids of its best ``k`` members among those that ``takes`` allows, and how deep the lists were read."""
     kept, n = Scoring(windows, k), len(block.ids)
@@ -140,7 +140,7 @@ def threshold_search(
         return kept.best, n
     seen, depth = np.zeros(n, bool), 0
     while depth < n:
-        further = min(n, max(first_depth, 2 * depth))
+        further = min(n, 2 * depth or -(-n // first_step))
         shown = np.concatenate([block.lists[d, depth:further] if sign < 0 else block.lists[d, n - further : n - depth] for d, sign in places])
         fresh = np.zeros(n, bool)
         fresh[shown] = True
