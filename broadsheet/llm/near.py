@@ -4,17 +4,18 @@ A text is the sequence of its five-word shingles, each labelled with how often i
 seeds, the ``SAMPLED`` labelled shingles with the smallest hashes are taken in text order; their hash is a key. Texts that
 agree in most shingles *and* their order share keys. In each bucket of equal keys the texts are compared with ``PIVOTS`` pivots, the
 most central ones first, so the pairs grow with the texts, not with the squares of the buckets; while rounds find links and buckets
-still hold several components, further rounds take other pivots. What buckets then still hold apart is settled exactly: their
+still hold several components, further rounds take other pivots, ``ROUNDS`` at most. What buckets then still hold apart is settled exactly: their
 texts meet by a prefix filter over all their shingles, and every pair it leaves is compared. So do all short texts, for which
 sketches are too coarse. Similarity is ``m / (n1 + n2 - m)`` with the m shingles that an alignment of both sequences matches: Jaccard
 similarity that also asks for the order. The alignment is banded: beyond the band no alignment can reach the threshold.
 
-Equal texts are collapsed first, and links are joined to classes by star contraction over tables in the shared folder.
+Equal texts are one node: only one of them is compared. Links are joined to classes by star contraction over tables in the shared folder.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import log
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,10 @@ SAMPLED = 5
 #: Pairs with a text of at most so many shingles are found exactly.
 SHORT = 20
 PIVOTS = 4
+#: Rounds of pivots at most; what they leave apart is settled exactly.
+ROUNDS = 6
+#: Each class of sizes is so much wider than the one before.
+SIZE_STEP = 1.05
 _SEEDS = np.random.default_rng(7).integers(1, 2**63, (2, SKETCHES), dtype=np.uint64)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _NOTHING = mix(np.array([12345], np.uint64))
@@ -113,14 +118,16 @@ def _stored_sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
 
 
 def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """node, root, size, token: a row for each labelled shingle."""
+    """node, root, size, at, token: a row for each labelled shingle, with its place in the text."""
     for whole in batches:
         for batch in _pieces(whole, 32):
             sequences = [shingles(np.frombuffer(x.as_buffer(), np.uint32).astype(np.uint64)) for x in batch.column("sequence")]
             sizes = np.array([len(s) for s in sequences], np.int32)
             tokens = np.concatenate([mix(s + _occurrence(s) * _STEP) for s in sequences]).view(np.int64)
             each = lambda c: np.repeat(batch.column(c).to_numpy(), sizes)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (each("node"), each("root"), np.repeat(sizes, sizes), tokens)], names=["node", "root", "size", "token"])
+            at = np.concatenate([np.arange(n, dtype=np.int32) for n in sizes])
+            columns = {"node": each("node"), "root": each("root"), "size": np.repeat(sizes, sizes), "at": at, "token": tokens}
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns.values()], names=list(columns))
 
 
 def _matched_bound(a: np.ndarray, b: np.ndarray) -> int:
@@ -216,32 +223,58 @@ def _pairs(members: DataFrame, round_no: int, threshold: float) -> DataFrame:
 def _exact_pairs(members: DataFrame, sequences: DataFrame, threshold: float) -> DataFrame:
     """node, pivot: pairs across components of ``members`` (node, root), among them all that reach the threshold.
 
-    A prefix filter: if the shingles of all texts have one order, two similar texts share a shingle among their first few. The order puts
-    those first that only one component has, which make no pair, then rare ones. For the shorter text of a pair fewer suffice than
-    for the longer one. Components meet before their texts do, so texts that are already together make no rows.
+    A text stays if other components have enough of its shingles at all. Then a prefix filter: if the shingles of all texts have one
+    order, the first shingle that an alignment of two similar texts matches is among the first few of both. The order puts
+    those first that only one component has, which make no pair, then rare ones. How few depends on both sizes, and the places of a match
+    in both texts differ by no more than what the alignment may leave out; so texts meet by shingle, by classes of both sizes and by stretches of
+    the text, each only where its own shingle stands early enough for the other's class. Texts that share a passage but too little else do not meet.
     """
     read = members.join(sequences, "node").select("node", "root", "sequence")
-    tokens = materialize(read.mapInArrow(_labelled, "node long, root long, size int, token long"))
+    tokens = materialize(read.mapInArrow(_labelled, "node long, root long, size int, at int, token long"))
+    own = Window.partitionBy("node")
 
     def across(table: DataFrame) -> DataFrame:
         ends = table.groupBy("token").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
         return materialize(ends.filter("low <> high").select("token", "n"))
 
-    own = Window.partitionBy("node")
-    place = F.col("size") - F.count("*").over(own) + F.row_number().over(own.orderBy("n", "token")) - 1
-    placed = tokens.join(across(tokens), "token").withColumn("place", place)
+    def covered(table: DataFrame) -> DataFrame:
+        shared = table.join(across(table), "token").withColumn("common", F.count("*").over(own))
+        return shared.filter(F.col("common") >= threshold * F.col("size") - 1e-9)
+
+    kept = materialize(covered(tokens).select(*tokens.columns))
+    place = F.col("size") - F.col("common") + F.row_number().over(own.orderBy("n", "token")) - 1
     first = F.col("place") <= F.col("size") - F.ceil(threshold * F.col("size") - 1e-9)
-    prefixes = materialize(placed.filter(first).select("node", "root", "size", "token", "place"))
-    indexed = F.col("place") <= F.col("size") - F.ceil(2 * threshold / (1 + threshold) * F.col("size") - 1e-9)
-    prefixes = materialize(prefixes.join(across(prefixes), "token").select("node", "root", "size", "token", "place", indexed.alias("indexed")))
-    groups = prefixes.groupBy("token", "root").agg(F.max("indexed").alias("indexed"))
-    met = groups.filter("indexed").select("token", "root").join(groups.select("token", F.col("root").alias("p_root")), "token").filter("root <> p_root")
-    longer = prefixes.select("token", *(F.col(c).alias(f"p_{c}") for c in ("node", "root", "size", "place")))
-    pairs = materialize(met).join(prefixes.filter("indexed"), ["token", "root"]).join(longer, ["token", "p_root"])
-    least = threshold / (1 + threshold) * (F.col("size") + F.col("p_size")) - 1e-9
-    # no more than what follows the first common shingle can match
-    pairs = pairs.filter((F.col("size") <= F.col("p_size")) & (F.least(F.col("size") - F.col("place"), F.col("p_size") - F.col("p_place")) >= least))
-    return pairs.select(F.greatest("node", "p_node").alias("node"), F.least("node", "p_node").alias("pivot")).distinct()
+    prefixes = materialize(covered(kept).withColumn("place", place).filter(first).select(*tokens.columns, "place"))
+    prefixes = materialize(prefixes.join(across(prefixes), "token").select(*prefixes.columns))
+
+    # of two sizes, an alignment has to match so many shingles
+    share = threshold / (1 + threshold)
+    kind = lambda size: F.floor(F.log(size) / log(SIZE_STEP) + 1e-9).cast("int")
+    lowest = lambda c: F.pow(F.lit(SIZE_STEP), F.col(c)) - 1e-6
+    size, early = F.col("size"), F.col("size") - F.col("place") + 1e-9
+    # what the alignment of a text of at least the lower class with one of at most the upper class may leave out
+    longest = F.pow(F.lit(SIZE_STEP), F.col("upper") + 1) + 1e-6
+    width = F.ceil(longest - share * (lowest("lower") + longest)) + 1
+    stretch = F.floor(F.col("at") / width).cast("long")
+    shorter = prefixes.withColumns({"lower": kind(size), "upper": F.explode(F.sequence(kind(size), kind(size / threshold + 1e-6)))})
+    shorter = shorter.filter(early >= share * (size + F.greatest(size, lowest("upper")))).withColumn("stretch", stretch)
+    longer = prefixes.withColumns({"upper": kind(size), "lower": F.explode(F.sequence(kind(F.greatest(threshold * size - 1e-6, F.lit(1.0))), kind(size)))})
+    longer = longer.filter(early >= share * (size + F.greatest(threshold * size, lowest("lower"))))
+    longer = longer.withColumn("stretch", F.explode(F.array(stretch - 1, stretch, stretch + 1)))
+    longer = longer.select("token", "lower", "upper", "stretch", *(F.col(c).alias(f"p_{c}") for c in ("node", "root", "size", "at", "place")))
+    # components meet before their texts do, so texts that are already together make no rows
+    key, p_root = ["token", "lower", "upper", "stretch"], "p_root"
+    spare = lambda p: F.max((1 - share) * F.col(f"{p}size") - F.col(f"{p}place")) + 1e-9
+    groups = shorter.groupBy(*key, "root").agg(F.min("size").alias("least"), spare("").alias("spare"))
+    p_groups = longer.groupBy(*key, p_root).agg(F.min("p_size").alias("p_least"), spare("p_").alias("p_spare"))
+    apart = (F.col("root") != F.col(p_root)) & (F.col("spare") >= share * F.col("p_least")) & (F.col("p_spare") >= share * F.col("least"))
+    roots = materialize(groups.join(p_groups, key).filter(apart).select(*key, "root", p_root))
+    met = roots.join(shorter, [*key, "root"]).join(longer, [*key, p_root]).filter("size < p_size OR size = p_size AND node < p_node")
+    least = share * (F.col("size") + F.col("p_size")) - 1e-9
+    # no more than what follows the first common shingle can match, nor further apart than what is left out
+    met = met.filter(F.least(F.col("size") - F.col("place"), F.col("p_size") - F.col("p_place")) >= least)
+    met = met.filter(F.abs(F.col("at") - F.col("p_at")) <= F.col("p_size") - least)
+    return met.select(F.greatest("node", "p_node").alias("node"), F.least("node", "p_node").alias("pivot")).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -310,6 +343,8 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = SIMILARITY) -> Da
         roots = joined(linked)
         # buckets that still hold several components: other pivots
         round_no += 1
+        if round_no == ROUNDS:
+            break
         placed = shared.join(roots, "node", "left").select("key", "node", "size", F.coalesce("root", "node").alias("root"), F.lit(0).cast("long").alias("central"))
         pairs, stats = _written(_pairs(placed, round_no, threshold).join(tested, ["node", "pivot"], "left_anti"))
         if not stats["n"]:
