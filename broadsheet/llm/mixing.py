@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -70,21 +70,31 @@ def find_exponent(tokens: np.ndarray, target_entropy: float, max_repetition: flo
     return _bisect(lambda x: repetition(tokens, weights_at(tokens, x), budget) <= max_repetition, 1.0, flat_enough)
 
 
+def token_count(text: Column | str = "text") -> Column:
+    """Words between white space; none in a null text."""
+    return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+
+
+def places(docs: DataFrame, seed: int) -> Column:
+    """The hash that orders rows."""
+    ids = [F.col("doc_id")] if "doc_id" in docs.columns else []
+    return F.xxhash64(F.lit(seed), *ids, "text")
+
+
 def mix_sources(
     docs: DataFrame, target_entropy: float = TARGET_ENTROPY, max_repetition: float = MAX_REPETITION, budget: float | None = None,
-    seed: int = 0, block_rows: int = BLOCK_ROWS,
+    seed: int = 0, block_rows: int = BLOCK_ROWS, decided: dict[str, Column] | None = None,
 ) -> DataFrame:
     """The columns of ``docs`` (with text and source) plus mix_tokens, mix_epoch and mix_progress, one row per use of a row.
 
-    Tokens are words between white space. ``budget`` in tokens; None: the smallest that uses every document once at least. A null
+    Tokens are words between white space, or what ``decided`` says: columns ``tokens`` and ``place`` (``places`` of the rows), for which no text is needed. ``budget`` in tokens; None: the smallest that uses every document once at least. A null
     source is a source of its own. A document without tokens costs nothing and comes with its block; sources without any token come once, at the
     start. Repeated rows are rows of their own. Input columns with the names of the three new ones are replaced; an empty table gives an empty one.
     """
     columns = [c for c in docs.columns if c.lower() not in ("mix_tokens", "mix_epoch", "mix_progress")]
     row = F.struct(*(F.col(f"`{c}`") for c in columns))
-    tokens = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
-    ids = [F.col("doc_id")] if "doc_id" in columns else []
-    base = docs.select(row.alias("row"), "source", tokens.alias("tokens"), F.xxhash64(F.lit(seed), *ids, "text").alias("place"))
+    tokens, place = (token_count(), places(docs, seed)) if decided is None else (decided["tokens"], decided["place"])
+    base = docs.select(row.alias("row"), "source", tokens.alias("tokens"), place.alias("place"))
 
     found = docs.select("source", tokens.alias("tokens")).groupBy("source").agg(F.count("*").alias("n"), F.sum("tokens").alias("tokens"))
     stats = found.limit(MAX_SOURCES + 1).collect()
@@ -99,7 +109,7 @@ def mix_sources(
 
     block = F.when(F.col("bits") > 0, F.call_function("shiftrightunsigned", F.col("place"), 64 - F.col("bits"))).otherwise(F.lit(0).cast("long"))
     planned = base.join(F.broadcast(plans), F.col("source").eqNullSafe(F.col("plan_source"))).withColumn("block", block)
-    slim = docs.select("source", tokens.alias("tokens"), F.xxhash64(F.lit(seed), *ids, "text").alias("place"))
+    slim = docs.select("source", tokens.alias("tokens"), place.alias("place"))
     slim = slim.join(F.broadcast(plans), F.col("source").eqNullSafe(F.col("plan_source"))).withColumn("block", block)
     # a last pass of less than a billionth of a source is rounding
     passes = F.greatest(F.lit(1), F.ceil(F.col("quota") / F.greatest(F.col("size"), F.lit(1.0)) - 1e-9)).cast("int")
@@ -125,3 +135,20 @@ def op6_temperature_mix(spark, sf: str) -> DataFrame:
     """All documents mixed: which are used, in which pass, and where."""
     mixed = mix_sources(spark.read.parquet(f"{sf}/documents.parquet"))
     return mixed.select("doc_id", "source", F.col("mix_tokens").alias("tokens"), F.col("mix_epoch").alias("epoch"), F.col("mix_progress").alias("progress"))
+
+
+def in_order(docs: DataFrame, partitions: int | None = None, seed: int = 0, **options) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, source, any other columns) as often as the mixture uses them and in its order, its partitions one after the other.
+
+    What is used where is decided on digests, counts and hashes; then texts join their uses, and each goes straight to its stretch of the
+    order. Rows that share doc_id, text and source are one row. ``options`` as for ``mix_sources``.
+    """
+    keys = {"_digest": F.coalesce(F.md5("text"), F.lit("")), "_doc": F.coalesce("doc_id", F.lit(0)), "_none": F.col("doc_id").isNull(), "_source": F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))}
+    marked = docs.withColumns(keys)
+    slim = materialize(marked.select(*keys, "source", token_count().alias("_tokens"), places(docs, seed).alias("_place")).dropDuplicates(list(keys)))
+    uses = mix_sources(slim, seed=seed, decided={"tokens": F.col("_tokens"), "place": F.col("_place")}, **options)
+    uses = materialize(uses.groupBy(*keys).agg(F.collect_list("mix_progress").alias("_uses")))
+    n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = marked.join(uses, list(keys)).select(*docs.columns, F.explode("_uses").alias("_progress"))
+    stretch = F.least(F.floor(F.col("_progress") * n), F.lit(n - 1)).cast("int")
+    return placed.repartitionById(n, stretch).sortWithinPartitions("_progress", "doc_id").select(*docs.columns)

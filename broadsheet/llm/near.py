@@ -19,7 +19,7 @@ from math import log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -300,14 +300,40 @@ def components(links: DataFrame) -> DataFrame:
     return materialize(roots.unionByName(roots.select(F.col("root").alias("node"), "root")).distinct())
 
 
+def text_digest(text: Column | str = "text") -> Column:
+    """What tells texts apart; a null text is the empty one."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
+
+
 def near_duplicate_classes(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     """doc_id and class_id for every row of ``docs`` (doc_id long, text): near duplicates share the smallest doc_id of all.
 
     Null texts are empty; texts without words are copies of each other. Repeated rows get a result each; a row without
     doc_id gets the class of its copies, or none. Other columns are ignored; an empty table gives an empty one.
     """
-    digest = F.unhex(F.md5(F.coalesce("text", F.lit(""))))
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), digest.alias("digest"))
+    by_text, rows = _classes(docs, threshold)
+    named = by_text.groupBy("root").agg(F.min("least").alias("class_id"))
+    by_digest = by_text.join(named, "root").select("digest", "class_id")
+    return rows.join(by_digest, "digest").select("doc_id", "class_id")
+
+
+def one_of_each_class(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
+    """``docs`` (doc_id long, text, any other columns) with one row of each class of near duplicates.
+
+    That of the smallest doc_id; where no row of the class has one, any of its texts that is always the same. Of repeated rows one stays.
+    """
+    by_text, _ = _classes(docs, threshold)
+    first = F.min(F.struct(F.col("least").isNull().alias("none"), "least", "digest")).alias("first")
+    kept = by_text.groupBy("root").agg(first).select(*(F.col(f"first.{c}").alias(f"k_{c}") for c in ("digest", "least", "none")))
+    # the same three keys for the join and for dropping repeated rows: documents move once
+    keys = {"_digest": text_digest(), "_least": F.coalesce("doc_id", F.lit(0)), "_none": F.col("doc_id").isNull()}
+    kept = kept.select(F.col("k_digest").alias("_digest"), F.coalesce("k_least", F.lit(0)).alias("_least"), F.col("k_none").alias("_none"))
+    return docs.withColumns(keys).join(kept, list(keys), "left_semi").dropDuplicates(list(keys)).drop(*keys)
+
+
+def _classes(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """digest, least, root for every text, root being the same in a class, and doc_id, digest for every row."""
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), text_digest().alias("digest"))
     sketched = materialize(rows.mapInArrow(_sketches, "doc_id long, digest binary, size int, keys array<long>"))
     # one node per text, numbered once and for all
     texts = sketched.groupBy("digest").agg(F.min("doc_id").alias("least"), F.min("size").alias("size"), F.min_by("keys", F.coalesce("doc_id", F.lit(2**63 - 1)).cast("long")).alias("keys"))
@@ -364,9 +390,7 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = SIMILARITY) -> Da
             roots = joined(linked) if stats["n"] else roots
 
     classes = nodes.join(roots, "node", "left").select("digest", "least", F.coalesce("root", "node").alias("root"))
-    named = classes.groupBy("root").agg(F.min("least").alias("class_id"))
-    by_digest = classes.join(named, "root").select("digest", "class_id")
-    return sketched.select("doc_id", "digest").join(by_digest, "digest").select("doc_id", "class_id")
+    return classes, sketched.select("doc_id", "digest")
 
 
 def op2_order_minhash(spark, sf: str) -> DataFrame:

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import tiktoken
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 #: Byte-level ranks, one "token rank" per line; the file has to be in the same place on all machines.
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -96,13 +96,19 @@ def _pack(path: str, length: int, block_tokens: int):
         base = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
         held, tokens, key, block = [], 0, base, base
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
+            places = batch.column("place").to_pylist() if "place" in batch.schema.names else [None] * batch.num_rows
+            for doc_id, text, place in zip(batch.column("doc_id"), batch.column("text"), places):
+                if place is not None and place != key:
+                    # another stretch of the order begins
+                    if held:
+                        yield from flush(held, block)
+                    held, tokens, key, block = [], 0, place, place
                 held.append((doc_id.as_py(), key, np.append(ids(text.as_py() or ""), np.uint16(END_ID))))
                 tokens += len(held[-1][2])
                 key += 1
                 if tokens >= block_tokens:
                     yield from flush(held, block)
-                    held, tokens, block = [], 0, block + 1
+                    held, tokens, block = [], 0, block + 1 if place is None else key
         if held:
             yield from flush(held, block)
 
@@ -136,15 +142,19 @@ def _pack(path: str, length: int, block_tokens: int):
     return pack
 
 
-def pack_tokens(docs: DataFrame, length: int = LENGTH, ranks: str = RANKS, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+def pack_tokens(docs: DataFrame, length: int = LENGTH, ranks: str = RANKS, block_tokens: int = BLOCK_TOKENS, place: Column | None = None) -> DataFrame:
     """The packed id matrix of ``docs`` (doc_id long, text), one row per matrix row.
 
     input_ids: ``length`` little-endian 16-bit ids, filled up with the end id; position_ids: places that start again at 0
     with every piece; cu_seqlens: where the pieces begin, and the end of the last; doc_ids, doc_keys (one per input row) and
     starts (the piece's first token in its document), one each per piece; n_tokens: without filling. A null or empty text is
     the end id alone. Repeated rows are packed again, each under its own key; other columns are ignored; an empty table gives no rows.
+
+    ``place`` (long, not null) numbers the rows in an order that the input has within its tasks: a block then holds a stretch of consecutive places,
+    and is named by the first, so that blocks follow each other as the rows do.
     """
-    return docs.select("doc_id", "text").mapInArrow(_pack(ranks, length, block_tokens), PACKED)
+    columns = ["doc_id", "text"] if place is None else ["doc_id", "text", place.alias("place")]
+    return docs.select(*columns).mapInArrow(_pack(ranks, length, block_tokens), PACKED)
 
 
 def write_packed(packed: DataFrame, path: str) -> None:
