@@ -6,8 +6,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm.mixing import mix_sources
-from broadsheet.llm.near import near_duplicate_classes
+from broadsheet.llm.mixing import in_order
+from broadsheet.llm.near import one_of_each_class
 from broadsheet.llm.packing import pack_tokens
 from broadsheet.llm.phrases import contamination
 from broadsheet.llm.quality import fit_weights, judge, trusted_ids
@@ -28,10 +28,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates: the one with the smallest doc_id; repeated rows of it once."""
-    classes = near_duplicate_classes(docs)
-    kept = classes.groupBy("class_id").agg(F.min("doc_id").alias("k_id")).select("k_id")
-    left = docs.join(kept, _same_document(docs, kept), "left_semi")
-    return left.withColumn("_text_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_text_hash"]).drop("_text_hash")
+    return one_of_each_class(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,23 +39,22 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document once at least, small sources as often as the weights ask, in the order of the mixture's rows."""
-    order = ["mix_progress", "doc_id"]
-    return mix_sources(docs).repartitionByRange(*order).sortWithinPartitions(*order).select(*docs.columns)
+    return in_order(docs)
 
 
-def _as_written(docs: DataFrame) -> DataFrame:
-    """doc_id and text in the order in which the tasks that wrote ``docs`` had them: readers deal files by size. A table that is not of files stays as it is."""
+def _written_place(docs: DataFrame) -> tuple[DataFrame, Column | None]:
+    """``docs`` and where its rows stand in the files of the tasks that wrote them. A table that is not of files has no such order."""
+    part = F.coalesce(F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).try_cast("long"), F.lit(0))
     try:
-        placed = docs.select("doc_id", "text", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at"))
+        return docs.select("doc_id", "text", (F.shiftleft(part, 40) + F.col("_metadata.row_index")).alias("place")), F.col("place")
     except AnalysisException:
-        return docs
-    order = [F.regexp_extract("file", r"part-(\d+)", 1).try_cast("long"), F.col("file"), F.col("at")]
-    return placed.repartitionByRange(*order).sortWithinPartitions(*order)
+        return docs, None
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows of token ids, packed in the order in which the rows of ``docs`` were written."""
-    return pack_tokens(_as_written(docs))
+    """Rows of token ids, packed in the order in which the rows of ``docs`` were written; nothing moves."""
+    placed, place = _written_place(docs)
+    return pack_tokens(placed, place=place)
 
 
 STAGES = [
