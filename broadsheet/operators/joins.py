@@ -18,9 +18,9 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataF
     return F.broadcast(df) if size <= max_bytes else df
 
 
-def pages_with_site(pages: DataFrame, sites: DataFrame, state: DataFrame | None = None) -> DataFrame:
+def pages_with_site(pages: DataFrame, sites: DataFrame, state: DataFrame | None = None, hosts: DataFrame | None = None) -> DataFrame:
     """Pages with the configs of the sites they belong to by host, see ``site_hosts``; one row per page and site."""
-    by_host = sites.join(site_hosts(sites, state), "domain").withColumnRenamed("host", "_host")
+    by_host = sites.join(site_hosts(sites, state, hosts), "domain").withColumnRenamed("host", "_host")
     given = pages.drop("domain") if "domain" in pages.columns else pages
     return given.join(broadcast_if_small(by_host), url_host("url") == F.col("_host")).drop("_host")
 

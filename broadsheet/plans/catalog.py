@@ -594,12 +594,16 @@ def q_run_state(spark, sf):
     return store.state().select("domain", "last_url", "last_page")
 
 
+def _hosts(spark: SparkSession, sf: str, domain: str) -> DataFrame:
+    """All hosts of the pages, as hosts of one site."""
+    return _pages(spark, sf).select(F.lit(domain).alias("domain"), url_host("url").alias("host")).distinct()
+
+
 def q_run_label(spark, sf):
-    """A run of a site whose domain is a label that no host has; its list of hosts has all pages parsed where they are scanned."""
+    """A run of a site whose domain is a label that no host has; its table of hosts has all pages parsed where they are scanned."""
     store = _new_store(spark)
-    hosts = _pages(spark, sf).agg(F.collect_set(url_host("url")).alias("hosts"))
-    site = _news_site(spark).withColumn("domain", F.lit("the news")).withColumn("hosts", F.array(*(F.lit(h) for h in hosts.first().hosts)))
-    run(store, site, _news_pages(spark, sf))
+    site = _news_site(spark).withColumn("domain", F.lit("the news"))
+    run(store, site, _news_pages(spark, sf), hosts=_hosts(spark, sf, "the news"))
     return _run_articles(store).select("domain", "article_id", "title", "url", "content_hash")
 
 
@@ -641,6 +645,47 @@ def q_stream_resume(spark, sf):
     return _run_articles(store)
 
 
+def _streamed(spark: SparkSession, sf: str, parts: int, max_pages: int | None = None) -> tuple[Store, DataFrame]:
+    """The store after a walk over the news pages that arrive in some parts, the last listing pages first, and its report.
+
+    The query is stopped and started for every part. The first part is applied twice, the second time by a query that has lost count.
+    """
+    from ..streaming.walk import Walk, finish_run, stream_run, walk_name
+
+    store, folder, site = _new_store(spark), f"{work_dir(spark)}/arrivals-{uuid.uuid4().hex}", _news_site(spark)
+    checkpoint, options = f"{store.root}/checkpoint", {"hosts": materialize(_hosts(spark, sf, "news.example")), "max_pages": max_pages}
+    pages = materialize(_news_pages(spark, sf).select("url", "html"))
+    number = F.regexp_extract("url", r"/list/(\d+)$", 1).try_cast("bigint")
+    # listings backwards, others by a checksum
+    part = F.coalesce(parts - 1 - number % parts, F.crc32(F.encode("url", "UTF-8")) % parts)
+    for i in range(parts):
+        pages.where(part == i).write.mode("append").parquet(folder)
+        stream_run(spark, folder, site, store, checkpoint, **options).awaitTermination()
+        if not i:
+            name = walk_name(spark, checkpoint)
+            Walk(store, site, name, **options).add(spark.read.parquet(folder), f"{name}-0")
+    return store, finish_run(spark, site, store, checkpoint, **options)
+
+
+def q_stream_run(spark, sf):
+    """The articles of a walk over pages that arrive in five parts."""
+    return _run_articles(_streamed(spark, sf, 5)[0])
+
+
+def q_stream_run_two(spark, sf):
+    return _run_articles(_streamed(spark, sf, 2)[0])
+
+
+def q_stream_state(spark, sf):
+    """The checkpoint that a walk over three listing pages leaves."""
+    return _streamed(spark, sf, 2, max_pages=3)[0].state().select("domain", "last_url", "last_page")
+
+
+def q_stream_report(spark, sf):
+    """The report of a walk in three parts."""
+    return _streamed(spark, sf, 3)[1]
+
+
 def q_read_store(spark, sf):
     """Rows written by two versions, read back: the second replaces the https articles."""
     store = _new_store(spark)

@@ -12,7 +12,7 @@ from .. import schemas
 from ..operators.lookups import attach_lookup_ids, new_lookups
 from ..operators.upsert import KEY, stamp_times, upsert_outcomes, written_keys
 from ..session import materialize
-from ..sources.store import Store
+from ..sources.store import TABLES, Store
 
 # Slim columns of a staged event; the content stays behind until it is known which rows are written.
 EVENT = ["site", *KEY, "seq", "mode", "item_url", "fetch", "content_hash", "category", "author", "featured_image"]
@@ -45,11 +45,13 @@ def settle(
     state: DataFrame | None = None,
     batch: str = "",
     touched: DataFrame | None = None,
+    also: Callable[[DataFrame], dict[str, DataFrame]] | None = None,
 ) -> DataFrame:
     """Decide every event, write what changed, and return the outcomes.
 
     ``add_content`` joins the content columns to the events whose fields stand at the end. Ids and
-    times are attached to the slim events before, so content is shuffled once at most.
+    times are attached to the slim events before, so content is shuffled once at most. ``also`` names further tables of the same commit, made
+    from the outcomes.
     """
     stored = touched_rows(store, staged) if touched is None else touched
     outcomes = materialize(upsert_outcomes(staged.select(*EVENT), stored, force))
@@ -72,5 +74,7 @@ def settle(
     version.put("superseded", replaced)
     if state is not None:
         version.put("state", state)
+    for table, rows in (also(outcomes) if also else {}).items():
+        version.put(table, rows.select(*StructType.fromDDL(TABLES[table]).names))
     version.commit(batch)
     return outcomes

@@ -35,3 +35,8 @@ CATEGORIES = "id bigint, domain string, name string"
 AUTHORS = CATEGORIES
 IMAGES = "id bigint, domain string, url string"
 STATE = "domain string, last_url string, last_page int, updated_at timestamp"
+
+# A parsed page without its items and fields, and an item that waits for its page.
+HEADS = """domain string, site string, url string, html_key string, config_key string, next_url string,
+listing_error string, fetch string"""
+WAITING = f"site string, domain string, article_id string, seq {SEQ}, mode string, item_url string"

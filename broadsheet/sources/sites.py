@@ -44,10 +44,11 @@ def enabled_sites(sites: DataFrame, only: list[str] | None = None) -> DataFrame:
     return chosen.where(F.col("name").isin(only)) if only else chosen
 
 
-def site_hosts(sites: DataFrame, state: DataFrame | None = None) -> DataFrame:
+def site_hosts(sites: DataFrame, state: DataFrame | None = None, hosts: DataFrame | None = None) -> DataFrame:
     """The hosts whose pages belong to each site: ``domain, host``, one row each.
 
-    Those of its start URLs and of its checkpoint, and any in an optional list ``hosts``. The domain is a label only.
+    Those of its start URLs and of its checkpoint, any in an optional list ``hosts``, and those that a table ``hosts`` (domain,
+    host) names, for sites with more hosts than fit a config. The domain is a label only.
     """
     urls = [F.transform(F.coalesce("start_urls", F.array().cast("array<string>")), url_host)] if "start_urls" in sites.columns else []
     named = [F.coalesce("hosts", F.array().cast("array<string>"))] if "hosts" in sites.columns else []
@@ -57,6 +58,8 @@ def site_hosts(sites: DataFrame, state: DataFrame | None = None) -> DataFrame:
     if state is not None:
         saved = state.join(sites.select("domain"), "domain", "left_semi")
         found = found.unionByName(saved.select("domain", url_host("last_url").alias("host")))
+    if hosts is not None:
+        found = found.unionByName(hosts.join(sites.select("domain"), "domain", "left_semi").select("domain", "host"))
     return found.where(F.length("host") > 0).distinct()
 
 

@@ -24,8 +24,14 @@ TABLES = {
     "images": schemas.IMAGES,
     "state": schemas.STATE,
     "commits": "version bigint, base bigint, state_version bigint, batch string",
+    # of walks over streams, see streaming/walk.py: what arrived and was walked, the outcomes, and as of the last batch what is wanted
+    "heads": f"walk string, {schemas.HEADS}",
+    "walked": "walk string, site string, url string, page_number bigint",
+    "counters": "walk string, site string, inserted bigint, updated bigint, skipped bigint, errors bigint",
+    "frontier": "walk string, site string, domain string, url string, page_number bigint, cap bigint, done boolean",
+    "waiting": f"walk string, {schemas.WAITING}",
 }
-
+APPENDED, REPLACED = ["heads", "walked", "counters"], ["frontier", "waiting"]
 
 LOOKUPS = ["categories", "authors", "images"]
 
@@ -68,6 +74,15 @@ class Store:
         version, base, _ = self.last_commit()
         return self._read(name).where(F.col("written").between(base, version)).drop("written")
 
+    def of_walk(self, name: str, walk: str) -> DataFrame:
+        """A walk's rows: all that were appended, or those of its last batch. Every batch of a walk writes its frontier."""
+        version, base, _ = self.last_commit()
+        live = (F.col("walk") == walk) & F.col("written").between(base, version)
+        if name in APPENDED:
+            return self._read(name).where(live).drop("walk", "written")
+        last = self._read("frontier").where(live).agg(F.max("written").alias("v")).first()["v"]
+        return self._read(name).where(live & (F.col("written") == (last or 0))).drop("walk", "written")
+
     def state(self) -> DataFrame:
         """Small, so it is written whole."""
         return self._read("state").where(F.col("written") == self.last_commit()[2]).drop("written")
@@ -83,6 +98,14 @@ class Store:
         for lookup in LOOKUPS:
             version.put(lookup, self.lookup(lookup))
         version.put("state", self.state())
+        for name in APPENDED:
+            version.put(name, self.lookup(name))
+        walks = [r.walk for r in self.lookup("frontier").select("walk").distinct().collect()]
+        for name in REPLACED:
+            rows = self._read(name).drop("written").limit(0)
+            for walk in walks:
+                rows = rows.unionByName(self.of_walk(name, walk).withColumn("walk", F.lit(walk)))
+            version.put(name, rows)
         return version.commit(rebase=True)
 
 

@@ -9,41 +9,46 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from ..functions.html import check_configs, detail, listing
+from ..functions.html import check_configs
 from ..functions.urls import article_id
-from ..operators.extract import article_record, items_of, read_listings
+from ..operators.extract import article_record, items_of
 from ..operators.joins import pages_with_site
 from ..operators.upsert import replay_order, skip_known
 from ..plans.crawl import RECORD
 from ..plans.settle import CONTENT, EVENT, settle, touched_rows
 from ..session import materialize
 from ..sources.pages import stream_pages
+from ..sources.parsed import PAGE_KEY, ParsedPages, with_keys
 from ..sources.store import Store
 
 
 def events_of(pages: DataFrame, sites: DataFrame, store: Store, force: bool) -> DataFrame:
     """Staged events with their fields: a page is a detail page, or a listing of inline articles.
 
-    Known link items are dropped before extraction.
+    A page is parsed once, and never again as long as it and its config stay what they are. Known link items are dropped before
+    their fields are looked up.
     """
-    hosts = [c for c in ("start_urls", "hosts") if c in sites.columns]
-    of_site = pages_with_site(pages, sites.select("domain", "site", "site_order", "config", "list_page.item_is_article", *hosts))
-    is_listing = F.coalesce("item_is_article", F.lit(False))
+    listed = [c for c in ("start_urls", "hosts") if c in sites.columns]
+    of_site = with_keys(pages_with_site(pages, sites.select("domain", "site", "site_order", "config", "list_page.item_is_article", *listed)))
     # A page with items of a site whose items are links is a listing, and never an article.
     lists = F.get_json_object("config", "$.list_page.item_selector").isNotNull()
-    n_items = F.coalesce(F.size(listing("html", F.col("config"))["items"]), F.lit(0))
-    single = of_site.where(~is_listing).where(~lists | (n_items <= 0)).withColumns({
+    index = materialize(of_site.select("domain", "site_order", F.coalesce("item_is_article", F.lit(False)).alias("inline"), lists.alias("lists"), "arrival", *PAGE_KEY))
+    parsed = ParsedPages(store.spark, f"{store.root}/parsed")
+    parsed.add(of_site, index)
+    rows = parsed.rows()
+    heads = materialize(index.join(rows.select(*PAGE_KEY, F.coalesce(F.size("items"), F.lit(0)).alias("n_items"), "error"), PAGE_KEY))
+    single = heads.where(~F.col("inline")).where(~F.col("lists") | (F.col("n_items") <= 0)).withColumns({
         "mode": F.lit("link"), "item_url": F.col("url"), "article_id": article_id("url"), "item_idx": F.lit(0),
+        "fetch": F.when(F.col("error").isNull(), "ok").otherwise("failed"),
     })
-    known = touched_rows(store, single)
-    read = skip_known(single, known, force).withColumn("fields", detail("html", F.col("config")))
-    details = read.withColumn("fetch", F.when(F.col("fields.error").isNull(), "ok").otherwise("failed"))
-    details = details.withColumn("fields", F.col("fields").dropFields("error"))
-    listed = items_of(read_listings(of_site.where(is_listing), F.col("config"))).where(F.col("mode") == "inline")
+    wanted = skip_known(single, touched_rows(store, single), force)
+    details = wanted.join(rows.select(*PAGE_KEY, "fields"), PAGE_KEY)
+    inline = heads.where("inline AND n_items > 0").join(rows.where(F.size("items") > 0).select(*PAGE_KEY, "items"), PAGE_KEY)
+    items = items_of(inline.drop("error", "lists", "n_items", "inline", "html_key", "config_key")).where(F.col("mode") == "inline")
     columns = ["site", "site_order", "domain", "arrival", "item_idx", "mode", "item_url", "fetch", "fields"]
-    items = details.select(*columns).unionByName(listed.withColumn("fetch", F.lit("ok")).select(*columns))
+    events = details.select(*columns).unionByName(items.withColumn("fetch", F.lit("ok")).select(*columns))
     record = article_record("fields", "item_url", F.col("domain"))
-    return items.select(
+    return events.select(
         "site", "domain", "mode", "item_url", "fetch",
         replay_order("site_order", "arrival", "item_idx").alias("seq"),
         record["article_id"].alias("article_id"),

@@ -14,43 +14,44 @@ from broadsheet.sources.sites import Defaults, read_sites, run_defaults
 from broadsheet.sources.store import Store
 from broadsheet.streaming.articles import stream_articles
 
-SHOP = {
-    "name": "shop", "domain": "shop.example", "start_urls": ["http://shop.example/p1.html"],
-    "list_page": {"item_selector": "article.card", "link_selector": "a"},
-    "pagination": {"enabled": True, "next_selector": "li.next a", "max_pages": None},
-    "article": {"title_selector": "h1", "body_selector": "div.body", "category_selector": ".cat", "featured_image_selector": "img",
-                "metadata_selectors": {"tags": ".tag"}},
+# Two kinds of site: a timetable whose rows link to pages of stations, and a log whose entries are articles themselves.
+RAIL = {
+    "name": "rail", "domain": "rail.example", "start_urls": ["http://rail.example/p1.html"],
+    "list_page": {"item_selector": "table.plan tr", "link_selector": "td > a"},
+    "pagination": {"enabled": True, "next_selector": "nav a[rel=next]", "max_pages": None},
+    "article": {"title_selector": "main h2", "body_selector": "#notes", "category_selector": "h2 + em", "featured_image_selector": "figure > img",
+                "metadata_selectors": {"lines": "ol li"}},
     "request": {"delay_seconds": 0.5, "headers": {"X": "1"}},
 }
-QUOTES = {
-    "name": "quotes", "domain": "q.example", "start_urls": ["http://q.example/"],
-    "list_page": {"item_selector": "div.q", "item_is_article": True},
-    "pagination": {"enabled": True, "next_selector": "a.next"},
-    "article": {"body_selector": "span", "author_selector": "small", "featured_image_selector": "i", "featured_image_attr": None},
+LOG = {
+    "name": "log", "domain": "log.example", "start_urls": ["http://log.example/"],
+    "list_page": {"item_selector": "dl dd", "item_is_article": True},
+    "pagination": {"enabled": True, "next_selector": "#older"},
+    "article": {"body_selector": "code", "author_selector": "cite", "featured_image_selector": "kbd", "featured_image_attr": None},
 }
-OFF = {**SHOP, "name": "off", "domain": "off.example", "enabled": False}
+OFF = {**RAIL, "name": "off", "domain": "off.example", "enabled": False}
 
 
 def listing(number, last):
-    cards = "".join(f'<article class="card"><a href="d{number}{i}.html">x</a></article>' for i in (0, 1))
-    shared = '<article class="card"><a href="/about.html">about</a></article>'
-    follow = f'<ul><li class="next"><a href="p{number + 1}.html">n</a></li></ul>' if number < last else ""
-    return f"<body>{cards}{shared}{follow}"
+    rows = "".join(f"<tr><td>0{i}:15</td><td><a href=d{number}{i}.html>to {i}</a></td></tr>" for i in (0, 1))
+    shared = "<tr><td><a href=/about.html>all stations</a></td></tr>"
+    follow = f"<nav><a href=p{number - 1}.html rel=prev>back</a> <a href=p{number + 1}.html rel=next>on</a></nav>" if number < last else ""
+    return f"<body><table class=plan>{rows}{shared}</table>{follow}"
 
 
 def detail_page(name, body="text", category="c"):
-    return f'<h1>Title {name}</h1><div class="body">{body} {name}</div><b class="cat">{category}</b><img src="i/{name}.png"><u class="tag">t</u>'
+    return f"<main><h2>Title {name}</h2><em>{category}</em><figure><img src=i/{name}.png></figure><ol><li>t</ol><p id=notes>{body} {name}</p></main>"
 
 
-def shop_pages(last=3, body="text", missing=()):
-    pages = {f"http://shop.example/p{n}.html": listing(n, last) for n in range(1, last + 1)}
-    pages |= {f"http://shop.example/d{n}{i}.html": detail_page(f"{n}{i}", body) for n in range(1, last + 1) for i in (0, 1)}
-    pages["http://shop.example/about.html"] = detail_page("about", body)
+def rail_pages(last=3, body="text", missing=()):
+    pages = {f"http://rail.example/p{n}.html": listing(n, last) for n in range(1, last + 1)}
+    pages |= {f"http://rail.example/d{n}{i}.html": detail_page(f"{n}{i}", body) for n in range(1, last + 1) for i in (0, 1)}
+    pages["http://rail.example/about.html"] = detail_page("about", body)
     return {u: h for u, h in pages.items() if u not in missing}
 
 
-def quote_page(*quotes):
-    return "".join(f"<div class=q><span>{q}</span><small>A</small></div>" for q in quotes)
+def log_page(*entries):
+    return "<dl>" + "".join(f"<dt>v{i}<dd><code>{x}</code> by <cite>A</cite>" for i, x in enumerate(entries)) + "</dl>"
 
 
 def frame(spark, pages):
@@ -61,7 +62,7 @@ def frame(spark, pages):
 def sites_dir(tmp_path):
     folder = tmp_path / "sites"
     folder.mkdir()
-    for file, config in (("a_shop", SHOP), ("b_quotes", QUOTES), ("c_off", OFF)):
+    for file, config in (("a_rail", RAIL), ("b_log", LOG), ("c_off", OFF)):
         (folder / f"{file}.json").write_text(json.dumps(config, indent=1))
     return str(folder)
 
@@ -73,11 +74,11 @@ def report(rows):
 def test_read_sites(spark, sites_dir):
     sites = read_sites(spark, sites_dir, defaults=Defaults(delay_seconds=3.0, user_agent="ua"))
     rows = {r.site: r for r in sites.collect()}
-    assert sorted(rows, key=lambda s: rows[s].site_order) == ["shop", "quotes"]
-    assert (rows["shop"].delay_seconds, rows["shop"].jitter_seconds, rows["quotes"].delay_seconds) == (0.5, 1.0, 3.0)
-    assert rows["shop"].headers == {"User-Agent": "ua", "X": "1"}
-    assert rows["shop"].article.metadata_selectors == {"tags": ".tag"}
-    assert [r.name for r in read_sites(spark, sites_dir, only=["quotes", "off"]).collect()] == ["quotes"]
+    assert sorted(rows, key=lambda s: rows[s].site_order) == ["rail", "log"]
+    assert (rows["rail"].delay_seconds, rows["rail"].jitter_seconds, rows["log"].delay_seconds) == (0.5, 1.0, 3.0)
+    assert rows["rail"].headers == {"User-Agent": "ua", "X": "1"}
+    assert rows["rail"].article.metadata_selectors == {"lines": "ol li"}
+    assert [r.name for r in read_sites(spark, sites_dir, only=["log", "off"]).collect()] == ["log"]
 
 
 def test_run_defaults(spark, tmp_path):
@@ -89,64 +90,64 @@ def test_run_defaults(spark, tmp_path):
 def test_runs_over_time(spark, sites_dir, tmp_path):
     store = Store(spark, str(tmp_path / "store"))
     sites = read_sites(spark, sites_dir)
-    first = {**shop_pages(missing=["http://shop.example/d31.html"]), "http://q.example/": quote_page("one", "two")}
-    assert report(run(store, sites, frame(spark, first))) == {"shop": (6, 0, 2, 1), "quotes": (2, 0, 0, 0)}
+    first = {**rail_pages(missing=["http://rail.example/d31.html"]), "http://log.example/": log_page("one", "two")}
+    assert report(run(store, sites, frame(spark, first))) == {"rail": (6, 0, 2, 1), "log": (2, 0, 0, 0)}
     rows = {r.url: r for r in store.articles().collect()}
     assert len(rows) == 8
-    about = rows["http://shop.example/about.html"]
-    assert (about.title, about.slug, about.body, about.metadata) == ("Title about", "title-about", "text about", {"tags": ["t"]})
-    assert rows["http://q.example/#item-0"].body == "one" and rows["http://q.example/#item-0"].slug == "item-0"
+    about = rows["http://rail.example/about.html"]
+    assert (about.title, about.slug, about.body, about.metadata) == ("Title about", "title-about", "text about", {"lines": ["t"]})
+    assert rows["http://log.example/#item-0"].body == "one" and rows["http://log.example/#item-0"].slug == "item-0"
     assert [r.name for r in store.lookup("categories").collect()] == ["c"]
     images = {r.id: r.url for r in store.lookup("images").collect()}
-    assert images[about.featured_image_id] == "http://shop.example/i/about.png"
+    assert images[about.featured_image_id] == "http://rail.example/i/about.png"
     assert sorted(images) == list(range(1, 7))
     assert store.state().count() == 0
 
     # Link items are known and stay as they are; inline items are compared.
-    second = {**shop_pages(body="other"), "http://q.example/": quote_page("one", "2", "three")}
-    assert report(run(store, sites, frame(spark, second))) == {"shop": (1, 0, 8, 0), "quotes": (1, 1, 1, 0)}
-    assert report(run(store, sites, frame(spark, second), force=True)) == {"shop": (0, 6, 3, 0), "quotes": (0, 0, 3, 0)}
+    second = {**rail_pages(body="other"), "http://log.example/": log_page("one", "2", "three")}
+    assert report(run(store, sites, frame(spark, second))) == {"rail": (1, 0, 8, 0), "log": (1, 1, 1, 0)}
+    assert report(run(store, sites, frame(spark, second), force=True)) == {"rail": (0, 6, 3, 0), "log": (0, 0, 3, 0)}
     now = {r.url: r for r in store.articles().collect()}
     assert len(now) == 10
-    changed = now["http://shop.example/about.html"]
+    changed = now["http://rail.example/about.html"]
     assert changed.body == "other about" and changed.scraped_at == about.scraped_at and changed.updated_at > about.updated_at
-    assert now["http://q.example/#item-0"].updated_at == rows["http://q.example/#item-0"].updated_at
+    assert now["http://log.example/#item-0"].updated_at == rows["http://log.example/#item-0"].updated_at
 
     store.compact()
     assert {r.url: r.content_hash for r in store.articles().collect()} == {u: r.content_hash for u, r in now.items()}
     exported = corpus_export(store.articles(), store.lookup("categories"), store.lookup("authors"), store.lookup("images"))
-    assert {r.author for r in exported.where("domain = 'q.example'").collect()} == {"A"}
+    assert {r.author for r in exported.where("domain = 'log.example'").collect()} == {"A"}
 
 
 def test_cap_resume_and_reset(spark, sites_dir, tmp_path):
     store = Store(spark, str(tmp_path / "store"))
-    sites, pages = read_sites(spark, sites_dir, only=["shop"]), frame(spark, shop_pages(4))
+    sites, pages = read_sites(spark, sites_dir, only=["rail"]), frame(spark, rail_pages(4))
     state = lambda: [(r.last_url, r.last_page) for r in store.state().collect()]
-    assert report(run(store, sites, pages, max_pages=1)) == {"shop": (3, 0, 0, 0)}
-    assert state() == [("http://shop.example/p2.html", 2)]
-    assert report(run(store, sites, pages, max_pages=1)) == {"shop": (2, 0, 1, 0)}  # past the cap: one page
-    assert state() == [("http://shop.example/p3.html", 3)]
-    gone = frame(spark, {u: h for u, h in shop_pages(4).items() if not u.endswith("p3.html")})
-    assert report(run(store, sites, gone)) == {"shop": (0, 0, 0, 0)}
-    assert state() == [("http://shop.example/p3.html", 3)]  # nothing processed, nothing moved
-    assert report(run(store, sites, pages)) == {"shop": (4, 0, 2, 0)}
+    assert report(run(store, sites, pages, max_pages=1)) == {"rail": (3, 0, 0, 0)}
+    assert state() == [("http://rail.example/p2.html", 2)]
+    assert report(run(store, sites, pages, max_pages=1)) == {"rail": (2, 0, 1, 0)}  # past the cap: one page
+    assert state() == [("http://rail.example/p3.html", 3)]
+    gone = frame(spark, {u: h for u, h in rail_pages(4).items() if not u.endswith("p3.html")})
+    assert report(run(store, sites, gone)) == {"rail": (0, 0, 0, 0)}
+    assert state() == [("http://rail.example/p3.html", 3)]  # nothing processed, nothing moved
+    assert report(run(store, sites, pages)) == {"rail": (4, 0, 2, 0)}
     assert state() == []
     run(store, sites, pages, max_pages=2)
-    assert report(run(store, sites, pages, max_pages=1, reset=True)) == {"shop": (0, 0, 3, 0)}
-    assert state() == [("http://shop.example/p2.html", 2)]
+    assert report(run(store, sites, pages, max_pages=1, reset=True)) == {"rail": (0, 0, 3, 0)}
+    assert state() == [("http://rail.example/p2.html", 2)]
 
 
 def test_policy_in_a_run(spark, sites_dir, tmp_path):
     rules = spark.createDataFrame(
-        [("http://shop.example", 0, "*", 0, "/about", False), ("http://shop.example", 0, "*", 1, "/p2", False)],
+        [("http://rail.example", 0, "*", 0, "/about", False), ("http://rail.example", 0, "*", 1, "/p2", False)],
         "origin string, entry_no int, agent string, rule_no int, path string, allow boolean",
     )
     store = Store(spark, str(tmp_path / "store"))
-    sites = read_sites(spark, sites_dir, only=["shop"])
-    assert report(run(store, sites, frame(spark, shop_pages()), rules=rules)) == {"shop": (2, 0, 1, 0)}
+    sites = read_sites(spark, sites_dir, only=["rail"])
+    assert report(run(store, sites, frame(spark, rail_pages()), rules=rules)) == {"rail": (2, 0, 1, 0)}
     assert [r.last_page for r in store.state().collect()] == [2]
     off = Defaults(respect_robots_txt=False)
-    assert report(run(store, sites, frame(spark, shop_pages()), rules=rules, defaults=off)) == {"shop": (5, 0, 1, 0)}
+    assert report(run(store, sites, frame(spark, rail_pages()), rules=rules, defaults=off)) == {"rail": (5, 0, 1, 0)}
 
 
 def test_uncommitted_files_are_not_read(spark, tmp_path):
@@ -170,49 +171,49 @@ def test_stream(spark, sites_dir, tmp_path):
         spark.createDataFrame(rows, "url string, html string, arrival bigint").coalesce(1).write.mode("append").parquet(str(folder))
         stream_articles(spark, str(folder), sites, store, str(tmp_path / "checkpoint")).awaitTermination()
 
-    arrive([("http://shop.example/a", detail_page("a")), ("http://q.example/", quote_page("one", "two")), ("http://none.example/", "x")], 0)
-    assert {r.url for r in store.articles().collect()} == {"http://shop.example/a", "http://q.example/#item-0", "http://q.example/#item-1"}
+    arrive([("http://rail.example/a", detail_page("a")), ("http://log.example/", log_page("one", "two")), ("http://none.example/", "x")], 0)
+    assert {r.url for r in store.articles().collect()} == {"http://rail.example/a", "http://log.example/#item-0", "http://log.example/#item-1"}
     version = store.last_commit()[0]
-    arrive([("http://shop.example/a", detail_page("a", "new")), ("http://shop.example/b", detail_page("b")), ("http://q.example/", quote_page("1", "two"))], 9)
+    arrive([("http://rail.example/a", detail_page("a", "new")), ("http://rail.example/b", detail_page("b")), ("http://log.example/", log_page("1", "two"))], 9)
     rows = {r.url: r for r in store.articles().collect()}
     assert store.last_commit()[0] == version + 1
-    assert rows["http://shop.example/a"].body == "text a"  # known link items are not read again
-    assert rows["http://q.example/#item-0"].body == "1" and len(rows) == 4
+    assert rows["http://rail.example/a"].body == "text a"  # known link items are not read again
+    assert rows["http://log.example/#item-0"].body == "1" and len(rows) == 4
     stream_articles(spark, str(folder), sites, store, str(tmp_path / "checkpoint")).awaitTermination()
     assert store.last_commit()[0] == version + 1
     # A listing of links is not an article.
-    arrive([("http://shop.example/p1.html", listing(1, 2))], 20)
-    assert "http://shop.example/p1.html" not in {r.url for r in store.articles().collect()}
+    arrive([("http://rail.example/p1.html", listing(1, 2))], 20)
+    assert "http://rail.example/p1.html" not in {r.url for r in store.articles().collect()}
     # A lost checkpoint applies all files again, which changes nothing, and with them those that arrived meanwhile.
     checkpoint = "checkpoint2"
-    one = spark.createDataFrame([("http://shop.example/z", detail_page("z"), 50)], "url string, html string, arrival bigint")
+    one = spark.createDataFrame([("http://rail.example/z", detail_page("z"), 50)], "url string, html string, arrival bigint")
     one.coalesce(1).write.mode("append").parquet(str(folder))
     stream_articles(spark, str(folder), sites, store, str(tmp_path / checkpoint)).awaitTermination()
     hashes = {r.url: r.content_hash for r in store.articles().collect()}
     assert {u: h for u, h in hashes.items() if not u.endswith("/z")} == {u: r.content_hash for u, r in rows.items()} and len(hashes) == 5
     # A second stream into the same store has batches of its own.
     other = tmp_path / "other"
-    spark.createDataFrame([("http://shop.example/y", detail_page("y"), 1)], "url string, html string, arrival bigint").write.parquet(str(other))
+    spark.createDataFrame([("http://rail.example/y", detail_page("y"), 1)], "url string, html string, arrival bigint").write.parquet(str(other))
     stream_articles(spark, str(other), sites, store, str(tmp_path / "checkpoint3")).awaitTermination()
-    assert "http://shop.example/y" in {r.url for r in store.articles().collect()}
+    assert "http://rail.example/y" in {r.url for r in store.articles().collect()}
 
 
 def test_failed_pages_are_errors(spark, sites_dir, tmp_path):
-    store, sites = Store(spark, str(tmp_path / "store")), read_sites(spark, sites_dir, only=["shop"])
-    pages = {**shop_pages(2), "http://shop.example/d10.html": None, "http://shop.example/p2.html": None}
-    assert report(run(store, sites, frame(spark, pages))) == {"shop": (2, 0, 0, 1)}
-    assert [r.last_url for r in store.state().collect()] == ["http://shop.example/p2.html"]  # not processed, so it is still to do
-    assert report(run(store, sites, frame(spark, shop_pages(2)))) == {"shop": (2, 0, 1, 0)}
+    store, sites = Store(spark, str(tmp_path / "store")), read_sites(spark, sites_dir, only=["rail"])
+    pages = {**rail_pages(2), "http://rail.example/d10.html": None, "http://rail.example/p2.html": None}
+    assert report(run(store, sites, frame(spark, pages))) == {"rail": (2, 0, 0, 1)}
+    assert [r.last_url for r in store.state().collect()] == ["http://rail.example/p2.html"]  # not processed, so it is still to do
+    assert report(run(store, sites, frame(spark, rail_pages(2)))) == {"rail": (2, 0, 1, 0)}
 
 
 def test_configs_are_checked_before_a_run(spark, tmp_path):
     store = Store(spark, str(tmp_path / "store"))
-    for broken in ({**SHOP, "article": {"title_selector": "li:not(.x)"}}, {k: v for k, v in SHOP.items() if k != "article"}, {**SHOP, "list_page": {}}):
+    for broken in ({**RAIL, "article": {"title_selector": "li:not(.x)"}}, {k: v for k, v in RAIL.items() if k != "article"}, {**RAIL, "list_page": {}}):
         folder = tmp_path / str(len(list(tmp_path.iterdir())))
         folder.mkdir()
         (folder / "a.json").write_text(json.dumps(broken))
         with pytest.raises(ValueError):
-            run(store, read_sites(spark, str(folder)), frame(spark, shop_pages()))
+            run(store, read_sites(spark, str(folder)), frame(spark, rail_pages()))
     for text in ('{"name": "x", ', '{"domain": "d"}'):
         (folder / "a.json").write_text(text)
         with pytest.raises(Exception):
@@ -221,12 +222,12 @@ def test_configs_are_checked_before_a_run(spark, tmp_path):
 
 def test_domain_is_a_label(spark, tmp_path):
     (tmp_path / "sites").mkdir()
-    config = {**SHOP, "domain": "example-shop", "start_urls": ["http://shop.example:8080/p1.html"], "hosts": ["www.shop.example"]}
+    config = {**RAIL, "domain": "example-rail", "start_urls": ["http://rail.example:8080/p1.html"], "hosts": ["www.rail.example"]}
     (tmp_path / "sites" / "a.json").write_text(json.dumps(config))
-    pages = {u.replace("shop.example", "shop.example:8080"): h for u, h in shop_pages(2).items()}
+    pages = {u.replace("rail.example", "rail.example:8080"): h for u, h in rail_pages(2).items()}
     store = Store(spark, str(tmp_path / "store"))
-    assert report(run(store, read_sites(spark, str(tmp_path / "sites")), frame(spark, pages))) == {"shop": (5, 0, 1, 0)}
-    assert {r.domain for r in store.articles().collect()} == {"example-shop"}
+    assert report(run(store, read_sites(spark, str(tmp_path / "sites")), frame(spark, pages))) == {"rail": (5, 0, 1, 0)}
+    assert {r.domain for r in store.articles().collect()} == {"example-rail"}
 
 
 def test_compaction_after_a_failed_run(spark, tmp_path):
@@ -262,13 +263,13 @@ def test_page_sources(spark, tmp_path):
 
 
 def test_extraction_operators(spark):
-    pages = frame(spark, {"http://shop.example/p1.html": listing(1, 2)})
-    items = list_items(pages, SHOP).orderBy("item_idx").collect()
+    pages = frame(spark, {"http://rail.example/p1.html": listing(1, 2)})
+    items = list_items(pages, RAIL).orderBy("item_idx").collect()
     assert [(r.item_idx, r.mode, r.item_url) for r in items] == [
-        (0, "link", "http://shop.example/d10.html"), (1, "link", "http://shop.example/d11.html"), (2, "link", "http://shop.example/about.html"),
+        (0, "link", "http://rail.example/d10.html"), (1, "link", "http://rail.example/d11.html"), (2, "link", "http://rail.example/about.html"),
     ]
-    assert next_page(pages, SHOP).first().next_url == "http://shop.example/p2.html"
-    own = frame(spark, {"http://h/p2.html": '<li class="next"><a href="p2.html">n</a></li>'})
-    assert next_page(own, SHOP).first().next_url is None
+    assert next_page(pages, RAIL).first().next_url == "http://rail.example/p2.html"
+    own = frame(spark, {"http://h/p2.html": "<nav><a rel=next href=p2.html>on</a></nav>"})
+    assert next_page(own, RAIL).first().next_url is None
     with pytest.raises(ValueError):
         extract_articles(pages, {"article": {"title_selector": "a:hover"}})

@@ -76,19 +76,33 @@ def test_export_of_a_hot_category(spark, small_limits):
     assert "skew=true" in plan
 
 
-def test_a_run_moves_no_html_and_parses_once(spark):
-    """Pages are parsed where they are scanned: one Python node, and no exchange with their html."""
-    from broadsheet.plans.crawl import parse_pages
+def test_a_run_moves_no_html_and_parses_only_what_is_new(spark, tmp_path):
+    """Pages are parsed where they are scanned, without an exchange of their html; a key that was parsed once is not parsed again."""
+    from broadsheet.operators.joins import pages_with_site
+    from broadsheet.plans.crawl import parse_pages, records_of
+    from broadsheet.sources.parsed import PAGE_KEY, ParsedPages, with_keys
 
     site = {"list_page": {"item_selector": "li", "link_selector": "a"}, "article": {"title_selector": "h1"}}
-    sites = spark.createDataFrame([("s", "label", json.dumps(site), ["http://h/1"])], "site string, domain string, config string, start_urls array<string>")
+    schema = "site string, domain string, config string, start_urls array<string>"
+    sites = spark.createDataFrame([("s", "label", json.dumps(site), ["http://h/1"])], schema)
     state = spark.createDataFrame([], "domain string, last_url string, last_page int, updated_at timestamp")
-    pages = materialize(spark.createDataFrame([("http://h/1", "<li><a href=2>x</a>"), ("http://h/2", "<h1>t</h1>"), ("http://other/", "y")], "url string, html string"))
-    parsed = parse_pages(pages, sites, state)
-    plan = parsed._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("ArrowEvalPython") == 1
+    table = {"http://h/1": "<li><a href=2>x</a>", "http://h/2": "<h1>t</h1>", "http://h/3": None, "http://other/": "y"}
+    frame = lambda: materialize(spark.createDataFrame(list(table.items()), "url string, html string"))
+    parsed = ParsedPages(spark, str(tmp_path / "parsed"))
+    heads, n = parse_pages(frame(), sites, state, parsed)
+    assert n == 3
+    assert {r.url: (r.title, r.fetch) for r in records_of(heads, parsed).collect()} == {"http://h/1": (None, "ok"), "http://h/2": ("t", "ok"), "http://h/3": (None, "failed")}
+    assert parse_pages(frame(), sites, state, parsed)[1] == 0
+    table |= {"http://h/2": "<h1>u</h1>", "http://h/4": "<h1>v</h1>"}
+    of_site = with_keys(pages_with_site(frame(), sites, state))
+    plan = parsed.reading(of_site, materialize(parsed.missing(of_site)))._jdf.queryExecution().executedPlan().toString()
     assert not [line for line in plan.splitlines() if "Exchange hash" in line and "html" in line]
-    assert {r.url: (r.title, r.fetch, len(r["items"] or [])) for r in parsed.collect()} == {"http://h/1": (None, "ok", 1), "http://h/2": ("t", "ok", 0)}
+    heads, n = parse_pages(frame(), sites, state, parsed)
+    assert n == 2 and {r.title for r in records_of(heads, parsed).collect()} == {None, "u", "v"}
+    # another config reads all pages anew; repeated rows of a page are parsed once
+    other = spark.createDataFrame([("s", "label", json.dumps({**site, "article": {"title_selector": "li"}}), ["http://h/1"])], schema)
+    assert parse_pages(frame().unionByName(frame()), other, state, parsed)[1] == 4
+    assert parsed.rows().groupBy(*PAGE_KEY).count().where("count > 1").isEmpty() and parsed.rows().count() == 9
 
 
 def test_upsert_asks_the_store_for_the_batch_only(spark, tmp_path):
