@@ -42,9 +42,6 @@ END_RANK = {
 }
 LOWEST_RANK = 100
 
-#: A tag that never ends is read as text. Beyond so many of them in a page, all the rest of it is.
-MAX_OPEN_TAGS = 16
-
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>=]++|=(?:\s*(?:\"[^\"]*\"|'[^']*'))?+)*+)>"
@@ -52,10 +49,49 @@ _TOKEN = re.compile(
     re.S,
 )
 _PLAIN = re.compile(r"[^<]+|<")
+_PLAIN_TOKEN = re.compile(r"(?P<close>)(?P<name>)(?P<attrs>)(?P<text><)")
+_BEGUN = re.compile(r"</?[a-zA-Z][^\s/>]*")
+_BLANK = re.compile(r"\s*")
 _ATTR = re.compile(r"([^\s=/>\"'][^\s=/>]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW_TEXT}
 
 
+class TagEnds:
+    """Whether a tag that begins somewhere ends at all, that is at a ">" outside its quoted values.
+
+    Where a value is quoted from depends on where the tag began, so quotes out of step can hide every ">" from some tags
+    and not from others. Each "=" leads to the same next one whatever tag it is read for, so its answer is kept, and a page
+    full of tags that never end is read in linear time.
+    """
+
+    def __init__(self, html: str):
+        self.stops = [m.start() for m in re.finditer("[>=]", html)]
+        self.html, self.known = html, {}
+        self.quotes = {q: [m.start() for m in re.finditer(q, html)] for q in "\"'"}
+
+    def found(self, at: int) -> bool:
+        passed, answer = [], False
+        i = bisect_left(self.stops, at)
+        while i < len(self.stops):
+            if self.html[self.stops[i]] == ">":
+                answer = True
+                break
+            if i in self.known:
+                answer = self.known[i]
+                break
+            passed.append(i)
+            i = self._after(i)
+        self.known.update(dict.fromkeys(passed, answer))
+        return answer
+
+    def _after(self, i: int) -> int:
+        """The next stop after an "=" and the quoted value behind it, if there is one."""
+        at = _BLANK.match(self.html, self.stops[i] + 1).end()
+        quotes = self.quotes.get(self.html[at : at + 1], ())
+        close = bisect_left(quotes, at + 1)
+        return bisect_left(self.stops, quotes[close] + 1) if close < len(quotes) else i + 1
+
+
 class Page:
     def __init__(self, html: str):
         self.tag: list[str] = []
@@ -79,12 +115,14 @@ class Page:
         open_elements: list[int] = []
         kinds: list[str] = [""]
         at, size = 0, len(html)
-        last_end, failures = html.rfind(">"), 0
+        last_end, ends = html.rfind(">"), None
         while at < size:
-            token = _TOKEN.match(html, at)
-            if token["text"] == "<" and html[at + 1 : at + 2].isalpha():
-                failures += 1
-            if at > last_end or failures > MAX_OPEN_TAGS:
+            begun = ends is not None and _BEGUN.match(html, at)
+            # a tag without an end is text, which the pattern would find out by reading to the end of the page
+            token = _PLAIN_TOKEN.match(html, at) if begun and not ends.found(begun.end()) else _TOKEN.match(html, at)
+            if ends is None and token["text"] == "<" and _BEGUN.match(html, at):
+                ends = TagEnds(html)
+            if at > last_end:
                 # no tag can end any more: each further "<" would be looked through to the end of the page
                 for piece in _PLAIN.findall(html[at:].partition("<!--")[0]):
                     self._text(piece, open_elements, kinds[-1])

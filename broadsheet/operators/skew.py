@@ -12,7 +12,7 @@ from math import ceil
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, materialize_counted
 
 HOT_ROWS = 1_000_000
 
@@ -33,10 +33,11 @@ def split_hot(df: DataFrame, keys: list[str], limit: int = HOT_ROWS) -> tuple[Da
 def with_blocks(df: DataFrame, seq: str, rows_per_block: int = HOT_ROWS) -> DataFrame:
     """Add ``block``: consecutive ranges of ``seq`` with about ``rows_per_block`` rows each, numbered in its order.
 
-    Rows are dealt out by ``seq`` itself, of whatever type, and written, so that the number of a row's block
-    stays what it is. Rows with equal ``seq`` share a block; those without come first.
+    The input is computed once: it is written, and counted on the way. Rows are dealt out by ``seq`` itself, of whatever type, and written
+    again, so that the number of a row's block stays what it is. Rows with equal ``seq`` share a block; those without come first.
     """
-    blocks = ceil(df.count() / rows_per_block)
+    rows, n = materialize_counted(df, "true")
+    blocks = ceil(n / rows_per_block)
     if blocks <= 1:
-        return df.withColumn("block", F.lit(0))
-    return materialize(df.repartitionByRange(blocks, seq).withColumn("block", F.spark_partition_id()))
+        return rows.withColumn("block", F.lit(0))
+    return materialize(rows.repartitionByRange(blocks, seq).withColumn("block", F.spark_partition_id()))

@@ -17,7 +17,7 @@ from ..functions.text import clean_text, content_hash, metadata_json, or_default
 from ..functions.urls import article_id, article_slug, inline_url, url_host, url_join, url_origin
 from ..operators import chain, checkpoints, extract, joins, lookups, policy, reports, upsert
 from ..session import materialize, work_dir
-from ..sources.pages import with_domain
+from ..sources.pages import with_domain, with_html
 from ..sources.sites import Defaults, enabled_sites, request_headers
 from ..sources.store import Store
 from .crawl import run
@@ -525,15 +525,86 @@ def q_politeness_plan(spark, sf):
 
 
 def q_fetch_outcomes(spark, sf):
+    return policy.fetch_outcomes(_attempts(spark, sf), ["ts", "event_id"])
+
+
+def _attempts(spark: SparkSession, sf: str) -> DataFrame:
     """Attempts derived from events: click 200, purchase 404, view 503, error 429, signup a timeout."""
     status = F.create_map(*[F.lit(x) for x in ("click", 200, "purchase", 404, "view", 503, "error", 429)])
-    log = _table(spark, sf, "events").select(
+    return _table(spark, sf, "events").select(
         F.concat_ws("/", F.lit("http://user.example"), "user_id", F.date_format("ts", "yyyyMMdd")).alias("url"),
         F.element_at(status, F.col("event_type")).alias("status"),
         F.when(F.col("event_type") == "signup", "timeout").alias("error"),
         "ts", "event_id",
     )
-    return policy.fetch_outcomes(log, ["ts", "event_id"])
+
+
+def q_stream_fetch_outcomes(spark, sf):
+    """The same attempts as of fetch_outcomes, arriving in four parts without regard to time."""
+    from ..streaming.retries import latest_outcomes, stream_fetch_outcomes
+
+    root = f"{work_dir(spark)}/attempts-{uuid.uuid4().hex}"
+    log = materialize(_attempts(spark, sf).withColumn("at", F.unix_micros(F.col("ts").cast("timestamp"))).drop("ts"))
+    for part in (2, 0, 3, 1):
+        log.where(F.crc32(F.col("event_id").cast("string").cast("binary")) % 4 == part).write.mode("append").parquet(f"{root}/log")
+        arrived = spark.readStream.schema(log.schema).parquet(f"{root}/log")
+        stream_fetch_outcomes(arrived, [F.col("at"), F.col("event_id")], f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return latest_outcomes(spark, f"{root}/out")
+
+
+POLICY_LINES = """\
+# who may read {origin}
+User-agent: *
+Disallow: /fr/   # not these
+ALLOW: /en/1
+disallow: /en/
+{named}Sitemap: {origin}/map.xml
+"""
+POLICY_NAMED = """
+User-Agent: sheetbot
+User-agent: other
+Crawl-delay: 3
+Disallow: /de/
+Disallow: /en/5
+User-agent: SHEETBOT
+Disallow: /
+
+Disallow: /before-any-agent
+"""
+
+
+def _policy_files(spark: SparkSession, sf: str) -> DataFrame:
+    """One policy file per origin; those of https origins name the agent."""
+    origins = _pages(spark, sf).select(url_origin("url").alias("origin")).distinct()
+    named = F.when(F.col("origin").startswith("https:"), POLICY_NAMED).otherwise("")
+    text = F.replace(F.replace(F.lit(POLICY_LINES), F.lit("{named}"), named), F.lit("{origin}"), F.col("origin"))
+    return origins.select(F.concat("origin", F.lit(policy.POLICY_FILE)).alias("url"), text.alias("html"))
+
+
+def q_policy_rules(spark, sf):
+    return policy.policy_rules(_policy_files(spark, sf))
+
+
+def q_url_policy_files(spark, sf):
+    """Policies read from files, on the path for origins with very many rules."""
+    urls = _pages(spark, sf).select("page_id", "url")
+    rules = materialize(policy.policy_rules(_policy_files(spark, sf)))
+    return policy.url_policy(urls, rules, AGENT, few_rules=1).select("page_id", "allowed")
+
+
+LATIN_META = "<meta charset=iso-8859-1>"
+
+
+def q_decoded_pages(spark, sf):
+    """Pages as bytes in four charsets: UTF-8, UTF-16 with a mark, and where their letters allow it Latin-1 by a meta element and by a header."""
+    pages = _pages(spark, sf).select("page_id", "url", "html")
+    kind = F.when(F.col("html").rlike(r"[^\x00-\xff]"), F.col("page_id") % 2).otherwise(F.col("page_id") % 4)
+    text = F.when(kind == 2, F.concat(F.lit(LATIN_META), "html")).otherwise(F.col("html"))
+    latin = F.encode(F.when(kind >= 2, text), "ISO-8859-1")
+    marked = F.concat(F.lit(b"\xff\xfe"), F.encode(F.when(kind == 1, text), "UTF-16LE"))
+    content = F.when(kind == 0, F.encode(text, "UTF-8")).when(kind == 1, marked).otherwise(latin)
+    header = F.when(kind == 3, "text/html; charset=ISO-8859-1").otherwise("text/html")
+    return with_html(pages.select("page_id", "url", content.alias("content"), header.alias("type")), header="type")
 
 
 # --- whole runs --------------------------------------------------------------------------------

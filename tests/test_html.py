@@ -1,6 +1,7 @@
 """Page table, selectors and the extraction UDF on small pages of our own."""
 
 import json
+import random
 import time
 from html.parser import HTMLParser
 
@@ -207,3 +208,16 @@ def test_hostile_pages_take_linear_time(piece):
 
 def test_text_after_an_unfinished_tag_stays():
     assert texts("<p>a <b>c</b> 1 < 2 <i", "p") == ["a c 1 < 2 < i"]
+
+
+def test_tags_that_never_end_hide_nothing_else(monkeypatch):
+    """Every tag that the pattern finds is found, however many before it have no end."""
+    rng = random.Random(8)
+    pages = ["".join(rng.choice(['<a x="', "<b y='", "<i>", "</i>", '">', "'>", "=", '"', "'", " t ", "<p z=1>", "<!--", "-->", "< ", "</b", "<u =>"]) for _ in range(rng.randint(1, 60))) for _ in range(400)]
+    pages.append('<a x="1\' y=\'>"' * 30 + "'\"><h1>seen</h1>" + '<a x="' * 40)
+    read = lambda html: (lambda p: (p.tag, p.raw_attrs, p.parent, p.texts, p.text_owner))(Page(html))
+    quick = [read(h) for h in pages]
+    assert any(t.count("<") > 17 for _, _, _, t, _ in quick)
+    monkeypatch.setattr("broadsheet.functions.markup.TagEnds.found", lambda self, at: True)
+    assert quick == [read(h) for h in pages]
+    assert "h1" in quick[-1][0]
