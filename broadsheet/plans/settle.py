@@ -29,11 +29,9 @@ LOOKUPS = [
 def touched_rows(store: Store, events: DataFrame) -> DataFrame:
     """Keys, hashes and times of the stored articles that share an article id with ``events``, written once.
 
-    All that a batch asks the store: who owns an id, what is known, what is replaced. The rest of the store is not shuffled.
+    All that a batch asks the store: who owns an id, what is known. Partitions that no id of the batch can be in are not read.
     """
-    ids = events.select("article_id").distinct()
-    stored = store.stored_articles().select(*KEY, "content_hash", "scraped_at", "written")
-    return materialize(stored.join(ids, "article_id", "left_semi"))
+    return materialize(store.touched(materialize(events.select("article_id").distinct())))
 
 
 def settle(
@@ -58,23 +56,21 @@ def settle(
 
     # Names are kept from every item that reached extraction, written or not.
     named = outcomes.where("extracted")
-    merged, version = {}, store.begin()
+    merged, run = {}, store.begin()
     for table, value, column, _ in LOOKUPS:
         lookup = store.lookup(table)
         names = named.select("domain", F.col(column).alias(value), "seq")
-        merged[table] = lookup.unionByName(version.put(table, new_lookups(names, lookup, value)))
+        merged[table] = lookup.unionByName(run.put(table, new_lookups(names, lookup, value)))
 
     keys = stamp_times(written_keys(outcomes), stored, run_ts)
     last_events = outcomes.drop("outcome", "reason", "extracted").join(keys, [*KEY, "seq"])
     for table, value, column, id_column in LOOKUPS:
         last_events = attach_lookup_ids(last_events, merged[table], column, id_column, value)
     columns = StructType.fromDDL(schemas.ARTICLES).names
-    written = version.put("articles", add_content(last_events).select(*columns))
-    replaced = stored.select(*KEY, F.col("written").alias("version")).join(written.select(*KEY), KEY, "left_semi")
-    version.put("superseded", replaced)
+    run.put("articles", add_content(last_events).select(*columns))
     if state is not None:
-        version.put("state", state)
+        run.put("state", state)
     for table, rows in (also(outcomes) if also else {}).items():
-        version.put(table, rows.select(*StructType.fromDDL(TABLES[table]).names))
-    version.commit(batch)
+        run.put(table, rows.select(*StructType.fromDDL(TABLES[table]).names))
+    run.commit(batch)
     return outcomes

@@ -1,15 +1,15 @@
-"""The article store: Parquet tables that runs only append to.
+"""The article store: plain Parquet tables that runs only append to.
 
-Every run writes its rows under ``written=<n>`` and becomes visible, for all tables at once, when a row
-with its number is added to ``commits``. A new version of an article leaves a row in ``superseded``,
-and reading drops superseded rows with an anti-join on keys. So a run writes what changed; unchanged
-articles are never rewritten. A failed run leaves no commit, and the next one overwrites its files.
+Every run writes its rows under ``written=<n>``, n being its number, and last of all a row in ``runs``: files without one, left by a run that
+failed, are not read, and the next run, which has the same number, replaces them. Articles are also partitioned by the first digits of their id.
+Of several rows of an article the one of the latest run is live, so a run writes what changed and nothing else. A batch asks only the partitions
+that its ids can be in.
 """
 
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -18,12 +18,11 @@ from ..operators.upsert import KEY
 
 TABLES = {
     "articles": schemas.ARTICLES,
-    "superseded": "domain string, article_id string, version bigint",
     "categories": schemas.CATEGORIES,
     "authors": schemas.AUTHORS,
     "images": schemas.IMAGES,
     "state": schemas.STATE,
-    "commits": "version bigint, base bigint, state_version bigint, batch string",
+    "runs": "run bigint, batch string",
     # of walks over streams, see streaming/walk.py: what arrived and was walked, the outcomes, and as of the last batch what is wanted
     "heads": f"walk string, {schemas.HEADS}",
     "walked": "walk string, site string, url string, page_number bigint",
@@ -31,9 +30,14 @@ TABLES = {
     "frontier": "walk string, site string, domain string, url string, page_number bigint, cap bigint, done boolean",
     "waiting": f"walk string, {schemas.WAITING}",
 }
-APPENDED, REPLACED = ["heads", "walked", "counters"], ["frontier", "waiting"]
+APPENDED = ["heads", "walked", "counters"]
 
-LOOKUPS = ["categories", "authors", "images"]
+#: Articles are in 16 to the power of this many partitions per run.
+PREFIX_DIGITS = 2
+
+
+def prefix_of(article_id: str = "article_id") -> Column:
+    return F.substring(article_id, 1, PREFIX_DIGITS)
 
 
 class Store:
@@ -44,7 +48,8 @@ class Store:
 
     def _read(self, table: str) -> DataFrame:
         """An empty typed table until something was written."""
-        schema = StructType.fromDDL(f"{TABLES[table]}, written bigint")
+        prefix = ", prefix string" if table == "articles" else ""
+        schema = StructType.fromDDL(f"{TABLES[table]}, written bigint{prefix}")
         try:
             return self.spark.read.schema(schema).parquet(f"{self.root}/{table}")
         except AnalysisException as error:
@@ -52,80 +57,69 @@ class Store:
                 raise
             return self.spark.createDataFrame([], schema)
 
-    def last_commit(self) -> tuple[int, int, int]:
-        """Version, first version whose articles count, version of the state table."""
-        last = self._read("commits").agg(F.max(F.struct("version", "base", "state_version")).alias("c")).first()["c"]
-        return tuple(last) if last else (0, 0, 0)
+    def last_run(self) -> int:
+        return self._read("runs").agg(F.max("run").alias("run")).first()["run"] or 0
 
-    def has_batch(self, batch: str) -> bool:
-        return not self._read("commits").where(F.col("batch") == batch).isEmpty()
+    def _finished(self, table: str) -> DataFrame:
+        return self._read(table).where(F.col("written") <= self.last_run())
 
-    def stored_articles(self) -> DataFrame:
-        """Live articles, with the version that wrote each."""
-        version, base, _ = self.last_commit()
-        live = F.col("written").between(base, version)
-        replaced = self._read("superseded").where(live).select(*KEY, F.col("version").alias("written"))
-        return self._read("articles").where(live).join(replaced, [*KEY, "written"], "left_anti")
+    def has_batch(self, batch: str) -> bool:
+        return not self._read("runs").where(F.col("batch") == batch).isEmpty()
 
     def articles(self) -> DataFrame:
-        return self.stored_articles().drop("written")
+        """Live articles. Only those written more than once meet by key; where these are few, no body moves."""
+        rows = self._finished("articles")
+        several = rows.groupBy(*KEY).agg(F.max("written").alias("last"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+        newer = several.select(*(F.col(c).alias(f"_{c}") for c in KEY), "last")
+        replaced = (F.col("domain") == F.col("_domain")) & (F.col("article_id") == F.col("_article_id")) & (F.col("written") < F.col("last"))
+        return rows.join(newer, replaced, "left_anti").drop("written", "prefix")
+
+    def touched(self, ids: DataFrame) -> DataFrame:
+        """Keys, hashes and times of the live articles with one of the ``ids`` (article_id, distinct, written); other partitions are not read."""
+        prefixes = sorted(r.prefix for r in ids.select(prefix_of().alias("prefix")).distinct().collect())  # 256 at most
+        rows = self._finished("articles").where(F.col("prefix").isin(prefixes)).join(ids, "article_id", "left_semi")
+        last = F.max_by(F.struct("content_hash", "scraped_at"), "written").alias("last")
+        return rows.groupBy(*KEY).agg(last).select(*KEY, "last.content_hash", "last.scraped_at")
 
     def lookup(self, name: str) -> DataFrame:
-        version, base, _ = self.last_commit()
-        return self._read(name).where(F.col("written").between(base, version)).drop("written")
+        return self._finished(name).drop("written")
 
     def of_walk(self, name: str, walk: str) -> DataFrame:
         """A walk's rows: all that were appended, or those of its last batch. Every batch of a walk writes its frontier."""
-        version, base, _ = self.last_commit()
-        live = (F.col("walk") == walk) & F.col("written").between(base, version)
-        if name in APPENDED:
-            return self._read(name).where(live).drop("walk", "written")
-        last = self._read("frontier").where(live).agg(F.max("written").alias("v")).first()["v"]
-        return self._read(name).where(live & (F.col("written") == (last or 0))).drop("walk", "written")
+        mine = self._finished(name).where(F.col("walk") == walk)
+        if name not in APPENDED:
+            last = self._finished("frontier").where(F.col("walk") == walk).agg(F.max("written").alias("n")).first()["n"]
+            mine = mine.where(F.col("written") == (last or 0))
+        return mine.drop("walk", "written")
 
     def state(self) -> DataFrame:
-        """Small, so it is written whole."""
-        return self._read("state").where(F.col("written") == self.last_commit()[2]).drop("written")
-
-    def begin(self) -> Version:
-        return Version(self, self.last_commit())
-
-    def compact(self) -> int:
-        """Write all live rows as one new version; earlier files no longer count, nor do those of a failed run."""
-        version = self.begin()
-        version.put("articles", self.articles())
-        version.put("superseded", self._read("superseded").drop("written").limit(0))
-        for lookup in LOOKUPS:
-            version.put(lookup, self.lookup(lookup))
-        version.put("state", self.state())
-        for name in APPENDED:
-            version.put(name, self.lookup(name))
-        walks = [r.walk for r in self.lookup("frontier").select("walk").distinct().collect()]
-        for name in REPLACED:
-            rows = self._read(name).drop("written").limit(0)
-            for walk in walks:
-                rows = rows.unionByName(self.of_walk(name, walk).withColumn("walk", F.lit(walk)))
-            version.put(name, rows)
-        return version.commit(rebase=True)
-
-
-class Version:
-    """The rows of one run; ``put`` writes a table, ``commit`` makes all of them visible."""
-
-    def __init__(self, store: Store, last_commit: tuple[int, int, int]):
-        last, self.base, self.state_version = last_commit
-        self.store, self.number = store, last + 1
+        """Small, so every run writes it whole."""
+        return self._read("state").where(F.col("written") == self.last_run()).drop("written")
+
+    def begin(self) -> Run:
+        return Run(self, self.last_run() + 1)
+
+
+class Run:
+    """The rows of one run; ``put`` writes a table, ``commit`` makes all of them count."""
+
+    def __init__(self, store: Store, number: int):
+        self.store, self.number, self.has_state = store, number, False
 
     def put(self, table: str, rows: DataFrame) -> DataFrame:
-        """Write the rows of one table, and read them back from there."""
+        """Write the rows of one table, and read them back from there. Articles are brought together by partition, in files of a fair size."""
         path = f"{self.store.root}/{table}/written={self.number}"
-        rows.write.mode("overwrite").parquet(path)
-        if table == "state":
-            self.state_version = self.number
-        return self.store.spark.read.schema(TABLES[table]).parquet(path)
-
-    def commit(self, batch: str = "", rebase: bool = False) -> int:
-        row = (self.number, self.number if rebase else self.base, self.state_version, batch)
-        rows = self.store.spark.createDataFrame([row], TABLES["commits"])
-        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.store.root}/commits/written={self.number}")
+        writer = rows.write
+        if table == "articles":
+            writer = rows.withColumn("prefix", prefix_of()).hint("rebalance", "prefix").write.partitionBy("prefix")
+        writer.mode("overwrite").parquet(path)
+        self.has_state |= table == "state"
+        schema = StructType.fromDDL(TABLES[table])
+        return self.store.spark.read.schema(schema).parquet(path).select(*schema.names)
+
+    def commit(self, batch: str = "") -> int:
+        if not self.has_state:
+            self.put("state", self.store.state())
+        row = self.store.spark.createDataFrame([(self.number, batch)], TABLES["runs"])
+        row.coalesce(1).write.mode("overwrite").parquet(f"{self.store.root}/runs/written={self.number}")
         return self.number

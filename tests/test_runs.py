@@ -113,8 +113,6 @@ def test_runs_over_time(spark, sites_dir, tmp_path):
     assert changed.body == "other about" and changed.scraped_at == about.scraped_at and changed.updated_at > about.updated_at
     assert now["http://log.example/#item-0"].updated_at == rows["http://log.example/#item-0"].updated_at
 
-    store.compact()
-    assert {r.url: r.content_hash for r in store.articles().collect()} == {u: r.content_hash for u, r in now.items()}
     exported = corpus_export(store.articles(), store.lookup("categories"), store.lookup("authors"), store.lookup("images"))
     assert {r.author for r in exported.where("domain = 'log.example'").collect()} == {"A"}
 
@@ -173,14 +171,14 @@ def test_stream(spark, sites_dir, tmp_path):
 
     arrive([("http://rail.example/a", detail_page("a")), ("http://log.example/", log_page("one", "two")), ("http://none.example/", "x")], 0)
     assert {r.url for r in store.articles().collect()} == {"http://rail.example/a", "http://log.example/#item-0", "http://log.example/#item-1"}
-    version = store.last_commit()[0]
+    version = store.last_run()
     arrive([("http://rail.example/a", detail_page("a", "new")), ("http://rail.example/b", detail_page("b")), ("http://log.example/", log_page("1", "two"))], 9)
     rows = {r.url: r for r in store.articles().collect()}
-    assert store.last_commit()[0] == version + 1
+    assert store.last_run() == version + 1
     assert rows["http://rail.example/a"].body == "text a"  # known link items are not read again
     assert rows["http://log.example/#item-0"].body == "1" and len(rows) == 4
     stream_articles(spark, str(folder), sites, store, str(tmp_path / "checkpoint")).awaitTermination()
-    assert store.last_commit()[0] == version + 1
+    assert store.last_run() == version + 1
     # A listing of links is not an article.
     arrive([("http://rail.example/p1.html", listing(1, 2))], 20)
     assert "http://rail.example/p1.html" not in {r.url for r in store.articles().collect()}
@@ -230,15 +228,20 @@ def test_domain_is_a_label(spark, tmp_path):
     assert {r.domain for r in store.articles().collect()} == {"example-rail"}
 
 
-def test_compaction_after_a_failed_run(spark, tmp_path):
+def test_a_failed_run_leaves_nothing(spark, tmp_path):
     store = Store(spark, str(tmp_path / "store"))
     rows = spark.createDataFrame([(1, "d", "kept")], "id bigint, domain string, name string")
+    state = spark.createDataFrame([("d", "u", 2, None)], "domain string, last_url string, last_page int, updated_at timestamp")
     first = store.begin()
     first.put("categories", rows)
+    first.put("state", state)
     first.commit()
-    store.begin().put("categories", rows.withColumn("name", F.lit("phantom")))  # never committed
-    assert store.compact() == 2
-    assert [r.name for r in store.lookup("categories").collect()] == ["kept"]
+    failed = store.begin()  # never committed
+    failed.put("categories", rows.withColumn("name", F.lit("phantom")))
+    failed.put("state", state.limit(0))
+    assert [r.name for r in store.lookup("categories").collect()] == ["kept"] and store.state().count() == 1
+    assert store.begin().commit() == 2  # a run that does not touch the state keeps it
+    assert store.state().count() == 1
 
 
 def test_work_folder_on_a_cluster():

@@ -110,10 +110,22 @@ def test_upsert_asks_the_store_for_the_batch_only(spark, tmp_path):
     from broadsheet.sources.store import Store
 
     store = Store(spark, str(tmp_path / "store"))
-    events = spark.createDataFrame([("d", "a1")], "domain string, article_id string")
+    events = spark.createDataFrame([("d", "a1"), ("e", "b7")], "domain string, article_id string")
     assert touched_rows(store, events).collect() == []
-    columns = ", ".join(f"CAST(NULL AS {t}) AS {n}" for n, t in (("title", "string"), ("slug", "string"), ("body", "string"), ("published_at", "string"), ("category_id", "bigint"), ("author_id", "bigint"), ("featured_image_id", "bigint"), ("metadata", "map<string,array<string>>"), ("url", "string")))
-    version = store.begin()
-    version.put("articles", spark.sql(f"SELECT 'd' AS domain, concat('a', id) AS article_id, {columns}, 'h' AS content_hash, timestamp '2024-01-01' AS scraped_at, timestamp '2024-01-01' AS updated_at FROM range(5)"))
-    version.commit()
-    assert [(r.article_id, r.content_hash, r.written) for r in touched_rows(store, events).collect()] == [("a1", "h", 1)]
+    empty = {"title": "string", "slug": "string", "body": "string", "published_at": "string", "category_id": "bigint", "author_id": "bigint", "featured_image_id": "bigint", "metadata": "map<string,array<string>>", "url": "string"}
+    nulls = [f"CAST(NULL AS {t}) AS {n}" for n, t in empty.items()]
+    for run, ids in ((1, ["a1", "a2", "b7", "c0", "1e"]), (2, ["a1", "c0"])):
+        version = store.begin()
+        rows = spark.createDataFrame([(i,) for i in ids], "id string")
+        version.put("articles", rows.selectExpr("'d' AS domain", "id AS article_id", *nulls, f"'h{run}' AS content_hash", f"timestamp '2024-01-0{run}' AS scraped_at", f"timestamp '2024-01-0{run}' AS updated_at"))
+        version.commit()
+    assert sorted((r.article_id, r.content_hash) for r in touched_rows(store, events).collect()) == [("a1", "h2"), ("b7", "h1")]
+    assert sorted((r.article_id, r.content_hash) for r in store.articles().collect()) == [("1e", "h1"), ("a1", "h2"), ("a2", "h1"), ("b7", "h1"), ("c0", "h2")]
+    # only the partitions of the batch's ids are read, and of them no body
+    scan = store.touched(materialize(events.select("article_id").distinct()))
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    assert "prefix" in plan[plan.index("PartitionFilters: ["):].split("]")[0] and "a1,b7" in plan.replace(" ", "")
+    assert "body" not in plan.split("ReadSchema")[1].split("\n")[0]
+    partitions = {r.path.split("prefix=")[1][:2] for r in store._finished("articles").where(F.col("prefix").isin(["a1", "b7"])).select(F.col("_metadata.file_path").alias("path")).collect()}
+    assert partitions == {"a1", "b7"}
+
