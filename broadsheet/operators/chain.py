@@ -48,10 +48,12 @@ def page_chain(edges: DataFrame, starts: DataFrame, max_pages: int | None = None
         further = reached.join(hops, ["site", "url"]).select(
             "site", F.col("target").alias("url"), (F.col("page_number") + distance).alias("page_number"), "cap"
         )
-        capped = further.where(F.col("page_number") <= F.col("cap"))
-        unseen = further.where(F.col("cap").isNull()).join(reached, ["site", "url"], "left_anti")
-        free = unseen.groupBy("site", "url").agg(F.min("page_number").alias("page_number"), F.max("cap").alias("cap"))
-        found = capped.unionByName(free).withColumn("target", F.lit(None).cast("string"))
+        # with a cap a page may come again, under another number; without one it ends the chain
+        met = reached.where(F.col("cap").isNull()).select("site", "url", F.lit(True).alias("met"))
+        fresh = further.join(met, ["site", "url"], "left").where(F.col("met").isNull() & (F.col("cap").isNull() | (F.col("page_number") <= F.col("cap"))))
+        again = F.when(F.col("cap").isNotNull(), F.col("page_number")).alias("again")
+        found = fresh.groupBy("site", "url", again).agg(F.min("page_number").alias("page_number"), F.max("cap").alias("cap"))
+        found = found.drop("again").withColumn("target", F.lit(None).cast("string"))
         ahead = hops.select("site", F.col("url").alias("target"), F.col("target").alias("beyond"))
         doubled = hops.join(ahead, ["site", "target"]).select("site", "url", F.col("beyond").alias("target"))
         # both results of a round in one table: pages have a number, hops a target
