@@ -22,7 +22,8 @@ def _same_document(docs: DataFrame, chosen: DataFrame) -> Column:
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     weights = fit_weights(docs, trusted_ids(spark.read.parquet(f"{sf_dir}/labels.parquet")))
-    rejected = judge(docs, weights).filter("NOT kept").select(F.col("doc_id").alias("k_id"))
+    # written, so that its size is known: where it is small, documents do not move
+    rejected = materialize(judge(docs, weights).filter("NOT kept").select(F.col("doc_id").alias("k_id")))
     return docs.join(rejected, _same_document(docs, rejected), "left_anti")
 
 
@@ -33,7 +34,7 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without contamination by benchmark items."""
-    dirty = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).filter("contaminated").select(F.col("doc_id").alias("k_id"))
+    dirty = materialize(contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).filter("contaminated").select(F.col("doc_id").alias("k_id")))
     return docs.join(dirty, _same_document(docs, dirty), "left_anti")
 
 
