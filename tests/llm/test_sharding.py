@@ -1,3 +1,6 @@
+from collections import Counter
+from math import comb
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -23,6 +26,22 @@ def test_matrix_margins(spark):
     assert sorted(sum(c) for c in zip(*rows.values())) == [7, 8, 8, 8]
 
 
+def test_matrix_is_uniform(spark):
+    """Chi-square tests of whole matrices: what one block sends where, and what neighbours send together."""
+    n_blocks, n = 3000, 4
+    blocks = spark.range(n_blocks).select(F.col("id").alias("key"), F.lit(n).cast("long").alias("n"))
+    total, each = n_blocks * n, n_blocks * n // 3
+    ways = {(i, j, n - i - j): comb(each, i) * comb(each, j) * comb(each, n - i - j) / comb(total, n) for i in range(n + 1) for j in range(n + 1 - i)}
+    pair = {k: comb(each, k) * comb(total - each, 2 * n - k) / comb(total, 2 * n) for k in range(2 * n + 1)}
+    for seed in range(3):
+        places = [tuple(r.places) for r in communication_matrix(blocks, 3, seed).orderBy("key").collect()]
+        found = Counter(places)
+        assert sum((found[w] - n_blocks * p) ** 2 / (n_blocks * p) for w, p in ways.items()) < 36.1  # 14 degrees of freedom, 1 in 1,000
+        for shard in range(3):
+            found = Counter(x[shard] + y[shard] for x, y in zip(places[::2], places[1::2]))
+            assert sum((found[k] - n_blocks / 2 * p) ** 2 / (n_blocks / 2 * p) for k, p in pair.items()) < 26.1  # 8 degrees
+
+
 def test_law_and_columns(spark, docs):
     rows = [(i // 2, None if i % 7 == 0 else f"text {i % 5}") for i in range(203)] + [(None, "x" * 50_000)]
     frame = docs(rows)
