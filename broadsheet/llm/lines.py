@@ -121,6 +121,7 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_documen
         runs.add(lines.filter(F.col("batch") == i))
     # written, so that this side does not pin the join to the runs' buckets and a frequent line can be split
     heavy = materialize(runs.totals().filter(F.col("n_docs") >= min_documents).select(*KEY, "last_doc"))
+    runs.close()
     lost = lines.join(heavy, KEY).filter(~F.col("doc_id").eqNullSafe(F.col("last_doc")))
     lost = lost.groupBy("doc_id", "text_hash").agg(F.collect_set("line_no").alias("lost"))
     rows = ids.withColumn("text_hash", F.xxhash64("text")).alias("a")

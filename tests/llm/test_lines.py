@@ -47,3 +47,11 @@ def test_runs_are_levelled(spark):
     assert not spark.catalog.tableExists(name)
 
 
+
+
+def test_no_table_names_are_left(spark, small):
+    before = {t.name for t in spark.catalog.listTables()}
+    from broadsheet.llm.lines import op3_line_runs
+
+    assert op3_line_runs(spark, small).count() == 200
+    assert {t.name for t in spark.catalog.listTables()} == before
