@@ -4,8 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..session import materialize, materialize_counted
+from .skew import split_hot
+
+#: Sites with up to so many pages are walked by one task each.
+SITE_PAGES = 200_000
 
 
 def effective_cap(max_pages: Column, start_page: Column) -> Column:
@@ -22,25 +27,60 @@ def cap_pages(pages: DataFrame) -> DataFrame:
     return pages.where(cap.isNull() | (F.col("page_number") <= cap))
 
 
-def page_chain(edges: DataFrame, starts: DataFrame, max_pages: int | None = None) -> DataFrame:
+def _walked(pages, starts):
+    """The chains of one site, level by level: a page that was fetched with several links goes on with each."""
+    import pyarrow as pa
+
+    onward, rows, seen = {}, [], set()
+    for url, following in zip(pages["url"].to_pylist(), pages["next_url"].to_pylist()):
+        onward.setdefault(url, []).append(following)
+    for begin in sorted(starts.to_pylist(), key=lambda s: (s["page_number"], s["url"])):
+        level, page, cap = [begin["url"]], begin["page_number"], begin["cap"]
+        while level and (cap is None or page <= cap):
+            # with a cap a page may come again, under another number; without one it ends the chain
+            here = {url: url if cap is None else (url, page) for url in level if url in onward}
+            here = {url: visit for url, visit in here.items() if visit not in seen}
+            seen.update(here.values())
+            rows += [(page, url, following) for url in here for following in onward[url]]
+            level = [following for url in here for following in onward[url] if following is not None]
+            page += 1
+    sites = pa.array(starts["site"].to_pylist()[:1] * len(rows), starts.schema.field("site").type)
+    numbers, urls, links = zip(*rows) if rows else ((), (), ())
+    columns = [sites, pa.array(numbers, pa.int64()), pa.array(urls, pa.string()), pa.array(links, pa.string())]
+    return pa.table(columns, names=["site", "page_number", "url", "next_url"])
+
+
+def page_chain(edges: DataFrame, starts: DataFrame, max_pages: int | None = None, site_pages: int = SITE_PAGES) -> DataFrame:
     """Pages each site visits: ``site, page_number, url, next_url``.
 
     ``edges``: site, url, next_url per fetched page. ``starts``: site, start_url, start_page,
     max_pages; the argument overrides the latter. A chain ends at a page without a next link or
     with a link to itself, at a link to a page that was not fetched, at the cap, and, where there is
-    no cap, at the first page seen before.
+    no cap, at the first page seen before. Rows without a site or URL belong to no chain.
 
-    Links are followed by doubling: round k adds the pages 2^k hops further on, so a chain of n
-    pages takes log2(n) rounds of joins. Each round is one written table, which keeps plans short.
+    A site's pages meet in one task, which follows its links; so all sites take one shuffle, however long their chains. Sites with more than
+    ``site_pages`` pages are walked by doubling instead, which never brings a site together.
     """
     own = edges.select("site", "url", F.when(F.col("next_url") != F.col("url"), F.col("next_url")).alias("next_url"))
+    own = materialize(own.where("site IS NOT NULL AND url IS NOT NULL"))
+    cap = F.col("max_pages") if max_pages is None else F.lit(max_pages)
+    page = F.col("start_page").cast("bigint")
+    begun = starts.select("site", F.col("start_url").alias("url"), page.alias("page_number"), effective_cap(cap, page).cast("bigint").alias("cap"))
+    begun = begun.where("site IS NOT NULL AND url IS NOT NULL")
+    few, many = split_hot(own, ["site"], site_pages)
+    schema = StructType([own.schema["site"]]).add("page_number", "long").add("url", "string").add("next_url", "string")
+    walked = few.groupBy("site").cogroup(begun.groupBy("site")).applyInArrow(_walked, schema)
+    return walked if many is None else walked.unionByName(_by_doubling(many, begun))
+
+
+def _by_doubling(own: DataFrame, begun: DataFrame) -> DataFrame:
+    """``page_chain`` by doubling: round k adds the pages 2^k hops further on, so a chain of n pages takes log2(n) rounds of joins.
+
+    Each round is one written table, which keeps plans short.
+    """
     fetched = own.select("site", F.col("url").alias("target"))
     hops = own.where(F.col("next_url").isNotNull()).select("site", "url", F.col("next_url").alias("target"))
     hops = materialize(hops.join(fetched, ["site", "target"], "left_semi").select("site", "url", "target"))
-
-    cap = F.col("max_pages") if max_pages is None else F.lit(max_pages)
-    page = F.col("start_page").cast("bigint")
-    begun = starts.select("site", F.col("start_url").alias("url"), page.alias("page_number"), effective_cap(cap, page).alias("cap"))
     reached = materialize(begun.join(own, ["site", "url"], "left_semi"))
 
     distance = 1

@@ -26,7 +26,8 @@ def walk(edges, start, page, cap):
     return found
 
 
-def test_chains(spark):
+@pytest.mark.parametrize("site_pages", [10**6, 4, 0])
+def test_chains(spark, site_pages):
     edges = {
         "line": {f"l{i}": f"l{i + 1}" if i < 11 else None for i in range(12)},
         "loop": {"a": "b", "b": "c", "c": "d", "d": "b"},
@@ -44,15 +45,26 @@ def test_chains(spark):
     links = spark.createDataFrame(rows, "site string, url string, next_url string")
     begin = spark.createDataFrame(starts, "site string, start_url string, start_page int, max_pages int")
     expected = {(s, p, u) for s, start, page, cap in starts for p, u in walk(edges[s], start, page, cap)}
-    got = page_chain(links, begin).collect()
+    got = page_chain(links, begin, site_pages=site_pages).collect()
     assert {(r.site, r.page_number, r.url) for r in got} == expected and len(got) == len(expected)
     next_of = {(r.site, r.page_number): r.next_url for r in got}
     assert next_of["line2", 2] == "l2"  # at the cap the next link is still known
     assert next_of["self", 1] is None
-    overridden = page_chain(links, begin, max_pages=1).collect()
+    overridden = page_chain(links, begin, max_pages=1, site_pages=site_pages).collect()
     assert {(r.site, r.page_number) for r in overridden} == {(s, p) for s, _, p, _ in starts if s != "none"}
 
 
+@pytest.mark.parametrize("site_pages", [10**6, 0])
+def test_pages_that_were_fetched_twice(spark, site_pages):
+    rows = [("s", "a", "b"), ("s", "a", "c"), ("s", "b", "d"), ("s", "c", "d"), ("s", "d", None), (None, "a", "b"), ("s", None, "a")]
+    links = spark.createDataFrame(rows, "site string, url string, next_url string")
+    begin = spark.createDataFrame([("s", "a", 1, None), (None, "a", 1, None)], "site string, start_url string, start_page int, max_pages int")
+    got = sorted((r.page_number, r.url, r.next_url or "") for r in page_chain(links, begin, site_pages=site_pages).collect())
+    assert got == [(1, "a", "b"), (1, "a", "c"), (2, "b", "d"), (2, "c", "d"), (3, "d", "")]
+    assert page_chain(links.limit(0), begin, site_pages=site_pages).collect() == []
+    assert page_chain(links, begin.limit(0), site_pages=site_pages).collect() == []
+
+
 def test_cap(spark):
     rows = spark.createDataFrame([(p, 4, cap) for p in (4, 5, 6) for cap in (None, 0, 2, 5)], "page_number int, start_page int, max_pages int")
     kept = {(r.page_number, r.max_pages) for r in cap_pages(rows).collect()}
