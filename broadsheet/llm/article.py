@@ -18,10 +18,11 @@ ARTICLE = "page_id long, url string, text string, n_chars long"
 
 
 def sample_words(pages: DataFrame, n_pages: int = SAMPLE_PAGES) -> list[str]:
-    """The words of about ``n_pages`` pages, at most twice as many, chosen by a hash; only these come to the driver."""
+    """The words of about ``n_pages`` pages, at most twice as many, chosen and put in order by a hash, so files and tasks do not matter; only these come to the driver."""
     share = n_pages / max(pages.count(), 1)
     place = F.shiftrightunsigned(F.xxhash64("page_id", "url"), 11) / F.lit(2.0**53)
-    rows = pages.filter((place < share) & (F.octet_length("html") <= SAMPLE_PAGE_BYTES)).select("html").limit(2 * n_pages).collect()
+    chosen = pages.select("html", place.alias("place")).filter((F.col("place") < share) & (F.octet_length("html") <= SAMPLE_PAGE_BYTES))
+    rows = chosen.orderBy("place", "html").limit(2 * n_pages).collect()
     return [word for r in rows for b in leaf_blocks(r.html) for word in b.text.split()]
 
 

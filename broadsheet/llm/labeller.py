@@ -2,8 +2,8 @@
 
 Each block is read as a vector of its tag path (hashed element names and parts of class, id and role) and its hashed words, plus
 a few shapes. A bidirectional LSTM in numpy runs over the whole sequence of a page, so every block is judged with the document
-around it. The model is trained here, on ``TRAINING_PAGES`` composed pages whose blocks have known labels: layouts of all usual kinds, with
-words taken from a bounded sample of ``SAMPLE_PAGES`` pages. Inference batches pages of like length; all blocks are labelled.
+around it. The model is trained here, on ``TRAINING_PAGES`` composed pages whose blocks have known labels: layouts of all usual kinds, some of whose
+names mean nothing, with words taken from a bounded sample of ``SAMPLE_PAGES`` pages. Inference batches pages of like length; all blocks are labelled.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ SAMPLE_PAGES = 200
 EPOCHS = 7
 #: Words say less than paths: how much their vector counts, and how often training hides it.
 WORD_SCALE, HIDE_WORDS = 0.5, 0.5
+#: Shares of names that are made up, so that the rest of a page has to tell, and of pages laid out by a table.
+STRANGE_NAMES, TABLE_LAYOUTS = 0.25, 0.08
 BATCH_BLOCKS = 1 << 14
 
 
@@ -185,9 +187,12 @@ class _Composer:
         got = self.r.choices(self.words, k=self.r.randint(low, high))
         return " ".join(got).capitalize() + self.r.choice([".", ".", ".", "", "!", "?"])
 
+    def strange(self) -> str:
+        return "".join(self.r.choices("abcdefghijklmnopqrstuvwxyz", k=self.r.randint(3, 12)))
+
     def name(self, names: list[str]) -> str:
         kind = self.r.choice(["class", "class", "id"])
-        value = self.r.choice(names)
+        value = self.r.choice(names) if self.r.random() >= STRANGE_NAMES else self.strange()
         if kind == "class" and self.r.random() < 0.3:
             value += " " + self.r.choice(self.PLAIN)
         return f'{kind}="{value}"'
@@ -222,11 +227,12 @@ class _Composer:
     def content(self) -> list[str]:
         r, m = self.r, self.MARK
         out = []
+        p = f'<p class="{self.strange()}">' if r.random() < 0.15 else "<p>"
         for _ in range(r.randint(1, 10)):
             kind = r.random()
             if kind < 0.7:
                 text = self.text(1, r.choice([3, 12, 50, 160]))
-                form = r.choice(["<p>{}</p>", "<p>{}</p>", "<p>{}", "<div>{}</div>", "<p><b>{}<br>"]).format(m + text)
+                form = r.choice([p + "{}</p>", p + "{}</p>", p + "{}", "<div>{}</div>", "<p><b>{}<br>"]).format(m + text)
                 out.extend([form] * (r.randint(2, 5) if r.random() < 0.1 else 1))
             elif kind < 0.8:
                 out.append(f"<h{r.randint(2, 4)}>{m}{self.text(1, 9)}</h2>")
@@ -264,6 +270,12 @@ class _Composer:
         if r.random() < 0.3:
             r.shuffle(before)
         html = "".join(before) + article + "".join(after)
+        if r.random() < TABLE_LAYOUTS:
+            cells = [f"<td>{r.choice(['<br>'.join(f'<a href=/{i}>{self.text(1, 3)}</a>' for i in range(r.randint(2, 7))), self.noise('nav')])}</td>", f"<td>{article}</td>"]
+            if r.random() < 0.3:
+                cells.append(f"<td>{self.noise('aside')}</td>")
+            end = r.choice(["", f"<tr><td colspan=2>{r.choice(['', '&copy; '])}{self.text(1, 12)}</td></tr>"])
+            html = f"<table>{r.choice(['', f'<tr><td>{self.text(1, 4)}</td></tr>'])}<tr>{''.join(cells)}</tr>{end}</table>"
         if r.random() < 0.3:
             html = f"<div {self.name(self.PLAIN)}>{html}</div>"
         html = f"<html><head><title>{self.text(1, 6)}</title></head><body>{html}</body></html>"

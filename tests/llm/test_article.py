@@ -86,3 +86,34 @@ def test_pages_of_the_table(spark, small):
     for r in pages.collect():
         truth = "\n".join(b.text for b in leaf_blocks(r.html) if any("article" in marks for marks in path_marks(b.path)))
         assert got[r.page_id] == truth
+
+
+SENTENCE = "The council met on Tuesday and agreed to repair the old bridge over the river before winter."
+# Layouts and names that the composer does not have; the blocks of the article end with a star.
+UNSEEN = {
+    "names of a blog": f"""<div id=hfeed><ul class=topmenu><li><a href=/>Home</a></li><li><a href=/a>About us</a></li></ul>
+        <div class=hentry><h1>Bridge repaired*</h1><p>{SENTENCE}*</p><p>{SENTENCE} Again.*</p><p>{SENTENCE} And once more.*</p></div>
+        <ol class=commentlist><li><p>I like this.</p></li><li><p>Me too, very much so.</p></li></ol><div id=colophon>Copyright</div></div>""",
+    "a table": f"""<table><tr><td width=150><a href=/>Home</a><br><a href=/n>News</a></td><td><h1>Bridge*</h1><p>{SENTENCE}*</p><p>{SENTENCE} Two.*</p></td></tr>
+        <tr><td colspan=2>Copyright 2001</td></tr></table>""",
+    "nothing around": f"<h1>Bridge*</h1><p>{SENTENCE}*</p><p>{SENTENCE} Two.*</p><p>{SENTENCE} Three.*</p>",
+}
+
+
+@pytest.fixture(scope="module")
+def full(spark, small):
+    return train(sample_words(spark.read.parquet(f"{small}/pages.parquet")))
+
+
+@pytest.mark.parametrize("layout", UNSEEN)
+def test_unseen_layouts(full, layout):
+    blocks = leaf_blocks(f"<html><body>{UNSEEN[layout]}</body></html>")
+    expected = [b.text.endswith("*") for b in blocks]
+    for b in blocks:
+        b.text = b.text.rstrip("*")
+    assert full.label([blocks])[0].tolist() == expected
+
+
+def test_sample_does_not_depend_on_files(spark, small):
+    pages = spark.read.parquet(f"{small}/pages.parquet")
+    assert sample_words(pages, 20) == sample_words(pages.repartition(7, "html"), 20)
