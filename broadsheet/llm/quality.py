@@ -50,30 +50,44 @@ def n_repeat_words(hashes: Column) -> Column:
 def _n_repeat_words(hashes: Column) -> Column:
     """Words that lie in a window of three found twice or more, from the hashes of a text's words.
 
-    A window's hash and place share one long: the lower bits hold the place, the others the hash, so that a plain sort
-    brings equal windows together.
+    A window's hash and place first share one long: the lower bits hold the place, the others what fits of the hash, so that
+    a plain sort brings equal windows together. Only windows that have a neighbour there are then compared by the whole hash,
+    so that a text's length does not decide how exact its count is.
     """
     size = F.size(hashes)
-    one = F.lit(1).cast("long")
-    bits = F.when(size > 1, F.ceil(F.log2(size.cast("double") + 1)).cast("int")).otherwise(F.lit(1))
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
 
     def of(v: Column) -> Column:
-        packed = F.zip_with(v.windows, F.sequence(F.lit(0).cast("long"), F.size(v.windows).cast("long") - 1), lambda h, i: F.call_function("shiftleft", h, v.bits).bitwiseOR(i))
+        packed = F.zip_with(v.windows, F.sequence(zero, F.size(v.windows).cast("long") - 1), lambda h, i: F.call_function("shiftleft", h, v.bits).bitwiseOR(i))
         # most texts repeat no window and need no sort
         once = F.size(F.array_distinct(v.windows)) == F.size(v.windows)
-        return F.when(once, F.lit(0).cast("long")).otherwise(_let(F.sort_array(packed), lambda s: covered(v, s)))
+        return F.when(once, zero).otherwise(_let(F.sort_array(packed), lambda s: alike(v, s)))
 
-    def covered(v: Column, s: Column) -> Column:
+    def alike(v: Column, s: Column) -> Column:
         prefix = lambda x: F.call_function("shiftrightunsigned", x, v.bits)
         place = lambda x: x.bitwiseAND(F.call_function("shiftleft", one, v.bits) - 1)
-        near = lambda x, i: F.coalesce(prefix(x) == prefix(F.get(s, i)), F.lit(False))
-        again = F.sort_array(F.transform(F.filter(s, lambda x, i: near(x, i - 1) | near(x, i + 1)), place))
-        start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("end"))
+        whole = lambda x: F.struct(F.get(v.windows, place(x).cast("int")).alias("hash"), place(x).alias("place"))
+        return _let(F.sort_array(F.transform(_with_neighbours(s, prefix), whole)), covered)
+
+    def covered(s: Column) -> Column:
+        again = F.sort_array(F.transform(_with_neighbours(s, lambda x: x.hash), lambda x: x.place))
+        start = F.struct(zero.alias("n"), zero.alias("end"))
         return F.aggregate(again, start, lambda a, p: F.struct((a.n + p + WINDOW - F.greatest(p, a.end)).alias("n"), (p + WINDOW).alias("end")))["n"]
 
     enough = size >= WINDOW
-    values = F.struct(_windows(hashes, WINDOW).alias("windows"), bits.alias("bits"))
-    return F.when(enough, _let(values, of)).otherwise(F.lit(0).cast("long"))
+    values = F.struct(_windows(hashes, WINDOW).alias("windows"), _place_bits(size).alias("bits"))
+    return F.when(enough, _let(values, of)).otherwise(zero)
+
+
+def _place_bits(size: Column) -> Column:
+    """The bits that the places of ``size`` words need."""
+    return F.when(size > 1, F.ceil(F.log2(size.cast("double") + 1)).cast("int")).otherwise(F.lit(1))
+
+
+def _with_neighbours(ordered: Column, key: Callable[[Column], Column]) -> Column:
+    """The elements of a sorted array whose key is that of the element before or after."""
+    same = lambda x, i: F.coalesce(key(x) == key(F.get(ordered, i)), F.lit(False))
+    return F.filter(ordered, lambda x, i: same(x, i - 1) | same(x, i + 1))
 
 
 def counts(docs: DataFrame, carry: list[str]) -> DataFrame:

@@ -2,6 +2,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from broadsheet.llm.quality import counts, fit_weights, judge, op7_quality_rules, trusted_ids
 
@@ -27,6 +28,12 @@ def test_counts_against_brute_force(spark, docs):
     assert {r.doc_id: tuple(r)[1:] for r in rows} == {i: brute(t) for i, t in enumerate(TEXTS)}
 
 
+def test_counts_when_little_of_a_hash_fits(spark, docs, monkeypatch):
+    """As for texts of very many words: windows meet by a few bits, and are told apart by the whole hash."""
+    monkeypatch.setattr("broadsheet.llm.quality._place_bits", lambda size: F.lit(61))
+    test_counts_against_brute_force(spark, docs)
+
+
 @pytest.fixture(scope="module")
 def corpus():
     good = [(i, " ".join(f"word{(i * 7 + k * k) % 211}" for k in range(80))) for i in range(60)]
@@ -69,3 +76,12 @@ def test_query(spark, small):
     labels = {r.doc_id: (r.quality, r.toxic) for r in spark.read.parquet(f"{small}/labels.parquet").collect()}
     judged = [(labels.get(r.doc_id), r.kept) for r in rows if not r.base_failed]
     assert all(kept for label, kept in judged if label == (1, 0))
+
+
+def test_labelled_bad_documents_go(spark):
+    """Of those that meet the base rules at most one in twenty stays; on much smaller corpora the prior outweighs the counts."""
+    folder = "/root/testdata/sf0.01"
+    bad = spark.read.parquet(f"{folder}/labels.parquet").filter("quality = 0").select("doc_id").distinct()
+    judged = op7_quality_rules(spark, folder).join(bad, "doc_id").filter("NOT base_failed")
+    n, kept = judged.agg(F.count("*"), F.count_if("kept")).first()
+    assert n > 20 and 20 * kept <= n
