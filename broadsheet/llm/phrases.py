@@ -4,11 +4,13 @@ The index is cut by documents: a segment holds about ``SEGMENT_BYTES`` of whole
 positions of all its occurrences. Segments are rows of a Parquet table; building and searching them needs no shuffle, and a
 frequent term is spread over all segments. Search terms are looked up in a segment's term list; the posting lists of a
 phrase, each moved by its word's offset, are intersected from the rarest to the most frequent, until nothing is left.
-Words are compared by 64-bit hashes. Test items are sent to the tasks in blocks of ``ITEM_BLOCK_BYTES``.
+Words are compared by 64-bit hashes. Test items are sent to the tasks in blocks of ``ITEM_BLOCK_BYTES``, one after the other:
+each block is a job that writes its matches, so driver and tasks hold one block at a time, however large the benchmark is.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, work_dir
 from .words import LOWER, NOT_ALNUM, hash_words, text_words
 
 SEGMENT_BYTES = 2 << 20
@@ -169,19 +171,25 @@ def find_items(index: DataFrame, items: DataFrame, window: int = WINDOW, slop: i
 
     ``phrase``: maximal stretches of words covered by occurrences of the item's windows; an item of fewer words is one
     window. ``proximity`` (only with ``slop``): places of a window's rarest word with all its other words at most ``slop``
-    words away in the same document, in any order. Items without words match nothing; equal items are found under each of their ids.
+    words away in the same document, in any order. Items without words match nothing; equal items are found under each of their
+    ids, and repeated rows of ``items`` once. More than one block of items is searched at once, not when the result is asked for.
     """
     spark = index.sparkSession
-    items = items.select(F.col("item_id").cast("string").alias("item_id"), "text").filter("text IS NOT NULL")
+    items = items.select(F.col("item_id").cast("string").alias("item_id"), "text").filter("text IS NOT NULL").distinct()
     size = items.agg(F.sum(F.octet_length("text") + 16).alias("b")).first().b or 0
     blocks = -(-int(size) // ITEM_BLOCK_BYTES) or 1
-    out = None
-    for i in range(blocks):
-        block = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == i) if blocks > 1 else items
+
+    def matches(block: DataFrame) -> DataFrame:
         rows = block.collect()  # about ITEM_BLOCK_BYTES
-        part = index.mapInArrow(_search(Items([r.item_id for r in rows], [r.text for r in rows], window), slop), MATCH)
-        out = part if out is None else out.unionByName(part)
-    return out if out is not None else spark.createDataFrame([], MATCH)
+        return index.mapInArrow(_search(Items([r.item_id for r in rows], [r.text for r in rows], window), slop), MATCH)
+
+    if blocks == 1:
+        return matches(items)
+    place, path = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)).alias("block"), f"{work_dir(spark)}/matches-{uuid.uuid4().hex}"
+    dealt = materialize(items.select("*", place))
+    for i in range(blocks):
+        matches(dealt.filter(F.col("block") == i).drop("block")).write.mode("append").parquet(path)
+    return spark.read.schema(MATCH).parquet(path)
 
 
 def covered(spans: Column) -> Column:

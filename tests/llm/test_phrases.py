@@ -77,3 +77,14 @@ def test_items_in_blocks(spark, docs, monkeypatch):
     items = [(i, f"own{i} " * (i > 0) + LONG) for i in range(6)]
     got = contamination(docs(rows), spark.createDataFrame(items, "item_id long, text string"))
     assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows, items)
+
+
+def test_blocks_of_a_repeated_item(spark, docs, monkeypatch):
+    import broadsheet.llm.phrases as phrases
+
+    monkeypatch.setattr(phrases, "ITEM_BLOCK_BYTES", 400)
+    items = [(1, LONG)] * 50 + [(2, "short item"), (2, None)]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    index = build_index(docs([(7, LONG), (8, "a short item")]))
+    found = find_items(index, table).collect()
+    assert sorted((r.item_id, r.start, r.length) for r in found) == [("1", 0, 30), ("2", 1, 2)]
