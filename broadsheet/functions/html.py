@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DataType
 
-from ..schemas import BOTH, DETAIL, LISTING
-from .markup import Page, parse_selector
+from ..schemas import BOTH, DETAIL, ELEMENTS, LISTING
+from .markup import OWN_TEXT, Page, parse_selector
 from .text import _col
 
 # The defaults of absent keys.
@@ -105,6 +105,24 @@ def _both(html: str, config: dict) -> dict:
         return {**out, "error": f"{type(error).__name__}: {error}"}
 
 
+def _elements(html: str, _config: dict) -> dict:
+    """The page's elements in document order, each with the strings directly in it; strings outside any element have no number."""
+    page = Page(html)
+    strings, numbers = [[] for _ in page.tag], [0]
+    for owner, kind, text in zip(page.text_owner, page.text_kind, page.texts):
+        if owner >= 0:
+            strings[owner].append({"seq": numbers[-1], "kind": kind, "text": " ".join(text.split())})
+        numbers.append(numbers[-1] + (owner >= 0))
+    return {"elements": [
+        {
+            "node": e, "last": page.end[e] - 1, "parent": page.parent[e], "tag": tag, "attrs": list(page.attrs(e).items()),
+            "classes": page.classes(e), "text_kind": tag if tag in OWN_TEXT else "",
+            "text_from": numbers[page.text_from[e]], "text_to": numbers[page.text_to[e]], "strings": strings[e],
+        }
+        for e, tag in enumerate(page.tag)
+    ]}
+
+
 @lru_cache(maxsize=4096)
 def _config(text: str | None) -> dict | None:
     """None where it is not JSON: then every page gives an error row."""
@@ -195,3 +213,8 @@ def both(html: Column | str, config: Column) -> Column:
 
 def listing(html: Column | str, config: dict | Column) -> Column:
     return _extractor(_listing, "listing", LISTING, html, config)
+
+
+def elements(html: Column | str) -> Column:
+    """A page as its elements, for any selectors to be asked of; see ``operators.elements``."""
+    return _extractor(_elements, "elements", ELEMENTS, html, {})

@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 from .. import schemas
 from ..functions.text import clean_text, content_hash, metadata_json, or_default, or_null, slugify
 from ..functions.urls import article_id, article_slug, inline_url, url_host, url_join, url_origin
-from ..operators import chain, checkpoints, extract, joins, lookups, policy, reports, sequential, upsert
+from ..operators import chain, checkpoints, elements, extract, joins, lookups, policy, reports, sequential, upsert
 from ..session import materialize, work_dir
 from ..sources.pages import with_domain, with_html
 from ..sources.sites import Defaults, enabled_sites, request_headers
@@ -102,6 +102,20 @@ def q_inline_items(spark, sf):
     return items.select("page_id", "item_idx", "mode", "item_url", *[record[c].alias(c) for c in columns])
 
 
+def q_element_articles(spark, sf):
+    """``extract_articles`` by joins over the pages' elements: fields, metadata, noise."""
+    pages = _pages(spark, sf)
+    records = elements.articles_from_elements(pages, elements.element_table(pages), DETAIL)
+    return records.withColumn("metadata", metadata_json("metadata"))
+
+
+def q_element_links(spark, sf):
+    """``list_items`` by joins over the pages' elements."""
+    pages = _pages(spark, sf)
+    links = elements.links_from_elements(pages, elements.element_table(pages), LINKS)
+    return links.select("page_id", "page_url", "item_idx", "mode", "item_url")
+
+
 def q_next_page(spark, sf):
     return extract.next_page(_pages(spark, sf), LINKS)
 

@@ -25,6 +25,11 @@ items: array<struct<idx: int, href: string, article: struct<{FIELDS}>>>, error:
 BOTH = f"""struct<next_href: string,
 items: array<struct<idx: int, href: string, article: struct<{FIELDS}>>>, listing_error: string, fields: struct<{FIELDS}>, error: string>"""
 
+# What the extraction UDF returns of a page as elements.
+ELEMENTS = """struct<elements: array<struct<node: int, last: int, parent: int, tag: string, attrs: map<string, string>,
+classes: array<string>, text_kind: string, text_from: int, text_to: int,
+strings: array<struct<seq: int, kind: string, text: string>>>>, error: string>"""
+
 SEQ = "struct<site_order: bigint, page_number: bigint, item_idx: bigint>"
 
 ARTICLES = """domain string, article_id string, title string, slug string, body string,
