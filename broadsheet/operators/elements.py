@@ -25,6 +25,7 @@ from ..session import materialize
 from .extract import article_record
 
 PAGE = "html_key"
+ELEMENT = ["tag", "attrs", "classes", "text_kind", "text_from", "text_to"]
 
 
 def with_html_key(pages: DataFrame, name: str = PAGE) -> DataFrame:
@@ -53,7 +54,7 @@ def element_table(pages: DataFrame) -> DataFrame:
 
 def _compound(parts: Iterable[tuple]) -> Column:
     """What of a compound selector an element answers alone; its place among siblings is asked later."""
-    met = ~F.col("removed")
+    met = F.lit(True)
     for kind, name, value in parts:
         if kind == "tag":
             met &= F.col("tag") == name
@@ -65,34 +66,80 @@ def _compound(parts: Iterable[tuple]) -> Column:
     return met
 
 
-def _matches(table: DataFrame, selectors: dict[str, str]) -> DataFrame:
-    """html_key, node, last and ``names``, the selectors that an element matches (none, too)."""
-    paths = [(name, steps) for name, selector in selectors.items() for steps in parse_selector(selector)]
-    step = lambda path, k: f"s{path}_{k}"
-    alone = {step(p, k): _compound(compound) for p, (_, steps) in enumerate(paths) for k, (_, compound) in enumerate(steps)}
-    slim = table.where("node IS NOT NULL").select(PAGE, "node", "last", "parent", "removed", *[c.alias(n) for n, c in alone.items()])
-
-    family = Window.partitionBy(PAGE, "parent").orderBy("node")
-    before = family.rowsBetween(Window.unboundedPreceding, -1)
-    nth = {(step(p, k), x[2]) for p, (_, steps) in enumerate(paths) for k, (_, compound) in enumerate(steps) for x in compound if x[0] == "nth"}
-    if nth:
-        slim = slim.withColumn("position", F.count_if(~F.col("removed")).over(family.rowsBetween(Window.unboundedPreceding, 0)))
-        placed = {s: reduce(lambda a, b: a & b, [F.col("position") == n for t, n in nth if t == s], F.col(s)) for s, _ in nth}
-        slim = slim.withColumns(placed).drop("position")
-
-    above = Window.partitionBy(PAGE).orderBy("node").rowsBetween(Window.unboundedPreceding, -1)
-    for k in range(1, max((len(steps) for _, steps in paths), default=0)):
-        now = {step(p, k): (steps[k][0], step(p, k - 1)) for p, (_, steps) in enumerate(paths) if k < len(steps)}
-        slim = _children(slim, {s: prev for s, (how, prev) in now.items() if how == ">"})
-        related = {
-            " ": lambda prev: F.max(F.when(F.col(prev), F.col("last"))).over(above) >= F.col("node"),
-            "~": lambda prev: F.max(prev).over(before),
-            "+": lambda prev: F.last(F.when(~F.col("removed"), F.col(prev)), ignorenulls=True).over(before),
-        }
-        slim = slim.withColumns({s: F.col(s) & F.coalesce(related[how](prev), F.lit(False)) for s, (how, prev) in now.items() if how != ">"})
-
-    names = F.array_distinct(F.array(*[F.when(F.col(step(p, len(steps) - 1)), name) for p, (name, steps) in enumerate(paths)]).cast("array<string>"))
-    return slim.select(PAGE, "node", "last", F.array_compact(names).alias("names"))
+class _Steps:
+    """The steps of all paths of some selectors, each a column: whether an element meets it."""
+
+    def __init__(self, selectors: dict[str, str], mark: str):
+        self.paths = [(name, steps) for name, selector in selectors.items() for steps in parse_selector(selector)]
+        self.mark = mark
+
+    def column(self, path: int, k: int) -> str:
+        return f"{self.mark}_{path}_{k}"
+
+    def alone(self) -> dict[str, Column]:
+        return {self.column(p, k): _compound(compound) for p, (_, steps) in enumerate(self.paths) for k, (_, compound) in enumerate(steps)}
+
+    def last(self) -> dict[str, str]:
+        """The column of each path's last step, and the selector's name."""
+        return {self.column(p, len(steps) - 1): name for p, (name, steps) in enumerate(self.paths)}
+
+    def walk(self, slim: DataFrame) -> DataFrame:
+        """From what elements answer alone to what they meet in their place; all paths take a step at the same time."""
+        steps = self.alone()
+        if not steps:
+            return slim
+        slim = slim.withColumns({s: F.col(s) & ~F.col("removed") for s in steps})
+        family = Window.partitionBy(PAGE, "parent").orderBy("node")
+        before = family.rowsBetween(Window.unboundedPreceding, -1)
+        nth = {(self.column(p, k), x[2]) for p, (_, path) in enumerate(self.paths) for k, (_, compound) in enumerate(path) for x in compound if x[0] == "nth"}
+        if nth:
+            slim = slim.withColumn("position", F.count_if(~F.col("removed")).over(family.rowsBetween(Window.unboundedPreceding, 0)))
+            placed = {s: reduce(lambda a, b: a & b, [F.col("position") == n for t, n in nth if t == s], F.col(s)) for s, _ in nth}
+            slim = slim.withColumns(placed).drop("position")
+
+        above = Window.partitionBy(PAGE).orderBy("node").rowsBetween(Window.unboundedPreceding, -1)
+        for k in range(1, max(len(path) for _, path in self.paths)):
+            now = {self.column(p, k): (path[k][0], self.column(p, k - 1)) for p, (_, path) in enumerate(self.paths) if k < len(path)}
+            slim = _children(slim, {s: prev for s, (how, prev) in now.items() if how == ">"})
+            related = {
+                " ": lambda prev: F.max(F.when(F.col(prev), F.col("last"))).over(above) >= F.col("node"),
+                "~": lambda prev: F.max(prev).over(before),
+                "+": lambda prev: F.last(F.when(~F.col("removed"), F.col(prev)), ignorenulls=True).over(before),
+            }
+            slim = slim.withColumns({s: F.col(s) & F.coalesce(related[how](prev), F.lit(False)) for s, (how, prev) in now.items() if how != ">"})
+        return slim
+
+
+def _turns(selectors: Iterable[str]) -> list[list[str]]:
+    """Selectors that look at siblings see what those before them have left; the others may go together."""
+    turns: list[list[str]] = []
+    for selector in selectors:
+        if not turns or sibling_dependent(selector):
+            turns.append([])
+        turns[-1].append(selector)
+    return turns
+
+
+def _marked(table: DataFrame, selectors: dict[str, str], remove: Iterable[str], *carried: str) -> DataFrame:
+    """html_key, node, last, ``removed`` once the matches of ``remove`` are, and ``names`` of the selectors met (or none).
+
+    ``carried`` are further columns of the table; ``element`` holds those of elements that can match. One shuffle by page does
+    for all of it, unless a selector asks for children.
+    """
+    turns = [_Steps({str(i): s for i, s in enumerate(turn)}, f"r{n}") for n, turn in enumerate(_turns(remove))]
+    asked = _Steps(selectors, "s")
+    alone = {k: c for steps in (*turns, asked) for k, c in steps.alone().items()}
+    ends = asked.last()
+    may = reduce(lambda a, b: a | b, [alone[s] for s in ends], F.lit(False))
+    element = F.when(may, F.struct(*ELEMENT)).alias("element")
+    slim = table.where("node IS NOT NULL").select(PAGE, "node", "last", "parent", "removed", *carried, element, *[c.alias(n) for n, c in alone.items()])
+    so_far = Window.partitionBy(PAGE).orderBy("node").rowsBetween(Window.unboundedPreceding, 0)
+    for steps in turns:
+        hit = reduce(lambda a, b: a | b, [F.col(s) for s in steps.last()])
+        until = F.max(F.when(hit, F.col("last"))).over(so_far)
+        slim = steps.walk(slim).withColumn("removed", F.col("removed") | F.coalesce(until >= F.col("node"), F.lit(False))).drop(*steps.alone())
+    names = F.array(*[F.when(F.col(s), name) for s, name in ends.items()]).cast("array<string>")
+    return asked.walk(slim).select(PAGE, "node", "last", "removed", *carried, "element", F.array_distinct(F.array_compact(names)).alias("names"))
 
 
 def _children(slim: DataFrame, steps: dict[str, str]) -> DataFrame:
@@ -111,32 +158,36 @@ def _children(slim: DataFrame, steps: dict[str, str]) -> DataFrame:
     return families.withColumns(kept).where("NOT family.head").drop("family")
 
 
-def select_elements(table: DataFrame, selectors: dict[str, str]) -> DataFrame:
+def select_elements(table: DataFrame, selectors: dict[str, str], remove: Iterable[str] = (), text: bool = False) -> DataFrame:
     """The elements that match, with the ``name`` of the selector; an element that several match has a row for each.
 
-    The order of ``node`` is that of the document. Unsupported selectors raise ValueError.
+    ``remove`` is done first, as ``remove_elements`` does it, without writing a table. With ``text`` each has its text, as of
+    ``with_text``. The order of ``node`` is that of the document. Unsupported selectors raise ValueError.
     """
-    found = _matches(table, selectors).where(F.size("names") > 0).select(PAGE, "node", F.explode("names").alias("name"))
-    return table.drop("strings", "error", "removed").join(found, [PAGE, "node"])
+    marked = _marked(table, selectors, remove, *(["strings"] if text else []))
+    found = F.struct("node", "last", "element.*", "names")
+    if not text:
+        rows = marked.where(F.size("names") > 0).select(PAGE, found.alias("found"))
+    else:
+        kept = F.transform("strings", lambda s: F.struct(s["seq"], s["kind"], F.when(~F.col("removed"), s["text"]).alias("text")))
+        pages = marked.groupBy(PAGE).agg(
+            F.sort_array(F.flatten(F.collect_list(kept))).alias("strings"), F.collect_list(F.when(F.size("names") > 0, found)).alias("found")
+        )
+        read = F.transform("found", lambda f: f.withField("text", _text(F.col("strings"), f["text_from"], f["text_to"], f["text_kind"])))
+        rows = pages.select(PAGE, F.explode(read).alias("found"))
+    return rows.select(PAGE, "found.*").withColumn("name", F.explode("names")).drop("names")
 
 
-def remove_elements(table: DataFrame, selectors: list[str]) -> DataFrame:
-    """The table, written, with the matches of each selector in turn ``removed``, and all that is in them.
+def remove_elements(table: DataFrame, selectors: Iterable[str]) -> DataFrame:
+    """The table, written, with the matches of each selector in turn ``removed``, and all that is in them."""
+    gone = _marked(table, {}, selectors).where("removed").select(PAGE, "node", F.lit(True).alias("gone"))
+    return materialize(table.join(gone, [PAGE, "node"], "left").withColumn("removed", F.coalesce("gone", F.lit(False))).select(*table.columns))
 
-    Selectors that look at siblings see what those before them have left; the others may go together.
-    """
-    while selectors:
-        n = 1
-        while n < len(selectors) and not sibling_dependent(selectors[n]):
-            n += 1
-        matched = _matches(table, {str(i): s for i, s in enumerate(selectors[:n])})
-        so_far = Window.partitionBy(PAGE).orderBy("node").rowsBetween(Window.unboundedPreceding, 0)
-        ends = matched.withColumn("until", F.max(F.when(F.size("names") > 0, F.col("last"))).over(so_far))
-        gone = ends.where("until >= node").select(PAGE, "node", F.lit(True).alias("gone"))
-        marked = table.join(gone, [PAGE, "node"], "left").withColumn("removed", F.col("removed") | F.coalesce("gone", F.lit(False)))
-        table = materialize(marked.select(*table.columns))
-        selectors = selectors[n:]
-    return table
+
+def _text(strings: Column, start: Column, end: Column, kind: Column) -> Column:
+    """An element's text is a slice of its page's strings, without those of another kind."""
+    own = F.filter(F.slice(strings, start + 1, end - start), lambda s: (s["kind"] == kind) & s["text"].isNotNull())
+    return F.coalesce(F.array_join(F.transform(own, lambda s: s["text"]), " "), F.lit(""))
 
 
 def with_text(table: DataFrame, found: DataFrame) -> DataFrame:
@@ -147,9 +198,7 @@ def with_text(table: DataFrame, found: DataFrame) -> DataFrame:
     strings = table.where(F.size("strings") > 0).select(PAGE, "removed", F.explode("strings").alias("s"))
     kept = F.struct("s.seq", "s.kind", F.when(~F.col("removed"), F.col("s.text")).alias("text"))
     pages = strings.groupBy(PAGE).agg(F.sort_array(F.collect_list(kept)).alias("_strings"))
-    mine = F.slice("_strings", F.col("text_from") + 1, F.col("text_to") - F.col("text_from"))
-    own = F.filter(mine, lambda s: (s["kind"] == F.col("text_kind")) & s["text"].isNotNull())
-    text = F.coalesce(F.array_join(F.transform(own, lambda s: s["text"]), " "), F.lit(""))
+    text = _text(F.col("_strings"), F.col("text_from"), F.col("text_to"), F.col("text_kind"))
     return found.join(pages, PAGE, "left").withColumn("text", text).drop("_strings")
 
 
@@ -173,11 +222,10 @@ def read_details(table: DataFrame, config: dict) -> DataFrame:
     attrs = {"published_at": article.get("published_at_attr"), "featured_image": article.get("featured_image_attr", DEFAULT_IMAGE_ATTR)}
     fields = {f: article[f"{f}_selector"] for f in TEXT_FIELDS if article.get(f"{f}_selector")}
     keys = article.get("metadata_selectors") or {}
-    left = remove_elements(table, list(article.get("remove_selectors") or []))
-    found = select_elements(left, {**fields, **{f"metadata {k}": s for k, s in keys.items()}})
+    asked = {**fields, **{f"metadata {k}": s for k, s in keys.items()}}
+    found = select_elements(table, asked, article.get("remove_selectors") or [], text=True)
     first = F.row_number().over(Window.partitionBy(PAGE, "name").orderBy("node")) == 1
-    wanted = found.withColumn("first", first).where(F.col("first") | F.col("name").startswith("metadata "))
-    read = with_text(left, wanted)
+    read = found.withColumn("first", first).where(F.col("first") | F.col("name").startswith("metadata "))
 
     value = lambda f: F.try_element_at("attrs", F.lit(attrs[f])) if attrs.get(f) else F.nullif("text", F.lit(""))
     words = F.when(F.col("text") == "", F.array_join("classes", " ")).otherwise(F.col("text"))
@@ -190,7 +238,8 @@ def read_details(table: DataFrame, config: dict) -> DataFrame:
     entries = F.array(*[F.struct(F.lit(k).alias("key"), F.col(f"_m{i}").alias("value")) for i, k in enumerate(keys)])
     metadata = F.map_from_entries(F.filter(entries, lambda e: F.size(e["value"]) > 0)) if keys else F.create_map()
     metadata = F.coalesce(metadata.cast("map<string,array<string>>"), F.create_map().cast("map<string,array<string>>"))
-    whole = table.groupBy(PAGE).agg(F.first("error", ignorenulls=True).alias("error")).join(page, PAGE, "left")
+    # every page has one row that is its first element, or none
+    whole = table.where("node IS NULL OR node = 0").select(PAGE, "error").join(page, PAGE, "left")
     metadata = F.when(F.col("error").isNull(), metadata)
     columns = [(F.col(f) if f in fields else F.lit(None).cast("string")).alias(f) for f in TEXT_FIELDS]
     return whole.select(PAGE, F.struct(*columns, metadata.alias("metadata")).alias("fields"), "error")

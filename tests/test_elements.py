@@ -74,7 +74,9 @@ def test_selectors_and_text(spark, pages, table):
 
 def test_removed_in_turn(pages, table):
     left = remove_elements(table, NOISE)
-    got = by_page(pages, with_text(left, select_elements(left, {s: s for s in SELECTORS})), "node", "text")
+    asked = {s: s for s in SELECTORS}
+    got = by_page(pages, with_text(left, select_elements(left, asked)), "node", "text")
+    assert by_page(pages, select_elements(table, asked, NOISE, text=True), "node", "text") == got
     for i, html in enumerate(HTML):
         page = Page(html)
         for s in NOISE:
@@ -116,6 +118,7 @@ def test_empty_table(pages):
     nothing = element_table(pages.limit(0))
     assert nothing.collect() == []
     assert select_elements(remove_elements(nothing, ["p"]), {"x": "div > p"}).collect() == []
+    assert select_elements(nothing, {"x": "div > p"}, ["p"], text=True).collect() == []
     assert read_details(nothing, {"article": {"title_selector": "p"}}).collect() == []
 
 
