@@ -106,3 +106,26 @@ def test_late_attempts_in_any_order(spark, tmp_path, seed):
         by_url.setdefault(r.url, []).append((r.fetch, r.attempts, r.status, r.final))
         assert r.revision == len(by_url[r.url])
     assert all(a != b for rows in by_url.values() for a, b in zip(rows, rows[1:])) and max(map(len, by_url.values())) > 1
+
+
+def test_late_attempts_of_a_repeated_batch(spark, tmp_path):
+    """Outcomes are settled without Python on the executors; a batch whose commit was lost is done again, and attempts without a place come first."""
+    rows = [("u1", 503, None, 5), ("u1", 200, None, 7), ("u2", 404, None, 1), ("u1", 429, None, 3), ("u1", 503, None, 4), (None, 200, None, 2), ("u2", 200, None, None)]
+    schema, log, query = "url string, status int, error string, at long", str(tmp_path / "log"), None
+    for i, part in enumerate((rows[:3], rows[3:6], rows[6:])):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(log)
+        arrived = spark.readStream.schema(schema).parquet(log)
+        query = stream_fetch_outcomes(arrived, [F.col("at")], str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+        query.awaitTermination()
+        assert query.lastProgress["stateOperators"] == []
+        if i == 1:
+            (tmp_path / "checkpoint" / "commits" / "1").unlink()
+            (tmp_path / "checkpoint" / "commits" / ".1.crc").unlink(missing_ok=True)
+    told = sorted(spark.read.schema(OUTCOMES).parquet(str(tmp_path / "out")).collect(), key=lambda r: (r.url or "", r.revision))
+    assert [tuple(r)[:6] for r in told] == [
+        (None, "ok", 1, 200, True, 1),
+        ("u1", "ok", 2, 200, True, 1), ("u1", "failed", 3, 503, True, 2),
+        ("u2", "failed", 1, 404, True, 1), ("u2", "ok", 1, 200, True, 2),
+    ]
+    expected = {tuple(r) for r in fetch_outcomes(spark.createDataFrame(rows, schema), ["at"]).collect()}
+    assert {tuple(r) for r in latest_outcomes(spark, str(tmp_path / "out")).collect()} == expected
