@@ -12,9 +12,12 @@ the result out before filtering on it.
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -28,6 +31,8 @@ from .text import _col
 DEFAULT_LINK_ATTR = "href"
 DEFAULT_IMAGE_ATTR = "src"
 NO_PAGE = "no page"
+#: Of a batch, so much html is read at a time, a page counting as so many bytes at least.
+PIECE_BYTES, PAGE_BYTES = 1 << 20, 1 << 10
 TEXT_FIELDS = ("title", "body", "published_at", "category", "author", "featured_image")
 
 
@@ -173,6 +178,15 @@ def check_configs(sites: DataFrame, walks: bool = True) -> None:
         check_config(config, *(["listing"] if walks or listed else []), *([] if listed.get("item_is_article") else ["detail"]))
 
 
+def _pieces(batch: list[pa.Array]) -> Iterator[list[pa.Array]]:
+    """A batch of columns, the first of them html, cut so that only one piece at a time is Python objects, however many pages a batch has."""
+    sizes = pc.fill_null(pc.binary_length(batch[0]), 0).to_numpy(zero_copy_only=False).astype("int64")
+    piece = np.cumsum(np.maximum(sizes, PAGE_BYTES)) // PIECE_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), len(sizes)]
+    for begin, end in zip(cuts, cuts[1:]):
+        yield [column.slice(begin, end - begin) for column in batch]
+
+
 def _extractor(read, use: str, ddl: str, html: Column | str, config: dict | Column) -> Column:
     schema = DataType.fromDDL(ddl)
 
@@ -189,15 +203,17 @@ def _extractor(read, use: str, ddl: str, html: Column | str, config: dict | Colu
     if isinstance(config, dict):
         check_config(config, use)
 
-        def extract(html: pa.Array) -> pa.Array:
-            pages = html.to_pylist()
-            return pa.array(rows(pages, [config] * len(pages)), to_arrow_type(schema))
+        def extract(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for batch in batches:
+                for (html,) in _pieces([batch]):
+                    yield pa.array(list(rows(html.to_pylist(), [config] * len(html))), to_arrow_type(schema))
 
         return F.arrow_udf(extract, schema)(_col(html))
 
-    def extract_each(html: pa.Array, configs: pa.Array) -> pa.Array:
-        parsed = [_config(c) for c in configs.to_pylist()]
-        return pa.array(rows(html.to_pylist(), parsed), to_arrow_type(schema))
+    def extract_each(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for batch in batches:
+            for html, configs in _pieces(list(batch)):
+                yield pa.array(list(rows(html.to_pylist(), map(_config, configs.to_pylist()))), to_arrow_type(schema))
 
     return F.arrow_udf(extract_each, schema)(_col(html), config)
 

@@ -3,11 +3,14 @@
 import json
 import random
 import time
+import tracemalloc
 from html.parser import HTMLParser
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from broadsheet.functions import html as html_functions
 from broadsheet.functions.html import _detail, _listing, check_config, detail, listing
 from broadsheet.functions.markup import Page, parse_selector
 
@@ -221,3 +224,24 @@ def test_tags_that_never_end_hide_nothing_else(monkeypatch):
     monkeypatch.setattr("broadsheet.functions.markup.TagEnds.found", lambda self, at: True)
     assert quick == [read(h) for h in pages]
     assert "h1" in quick[-1][0]
+
+
+@pytest.mark.parametrize("several", [False, True])
+def test_a_batch_is_read_piece_by_piece(monkeypatch, several):
+    """Of a large batch only few pages at a time are Python objects."""
+    config = {"article": {"title_selector": "h1", "body_selector": "p"}}
+    pages = pa.array([None if i % 100 == 7 else f"<h1>{i}</h1><p>{'x' * 10_000}</p>" for i in range(3000)], pa.string())
+    configs = pa.array([json.dumps(config)] * len(pages))
+    monkeypatch.setattr(html_functions, "_col", lambda c: c)
+    monkeypatch.setattr(html_functions.F, "arrow_udf", lambda function, schema: lambda *columns: function)
+    function = html_functions.detail("html", "config" if several else config)
+    tracemalloc.start()
+    try:
+        n = 0
+        for out in function(iter([(pages, configs), (pages[:0], configs[:0])] if several else [pages, pages[:0]])):
+            for title in out.field("title").to_pylist():
+                assert title == (None if n % 100 == 7 else str(n))
+                n += 1
+        assert n == len(pages) and tracemalloc.get_traced_memory()[1] < 16 << 20
+    finally:
+        tracemalloc.stop()
