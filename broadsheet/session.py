@@ -6,10 +6,15 @@ import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def build_session(app: str = "broadsheet", master: str | None = None, **conf: str) -> SparkSession:
@@ -59,6 +64,25 @@ def work_dir(spark: SparkSession) -> str:
     return f"{folder.rstrip('/')}/{spark.sparkContext.applicationId}"
 
 
+def empty_table(spark: SparkSession, schema: StructType) -> DataFrame:
+    """A typed table without rows. ``createDataFrame`` would make it with Python workers, which then stay on the executors."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+
+
+@contextmanager
+def arrow_batches(spark: SparkSession, max_bytes: int) -> Iterator[None]:
+    """What is run within sends Python so many bytes at a time; afterwards the session has its own setting again."""
+    before = spark.conf.get(ARROW_BYTES, None)
+    spark.conf.set(ARROW_BYTES, str(max_bytes))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(ARROW_BYTES)
+        else:
+            spark.conf.set(ARROW_BYTES, before)
+
+
 def materialize_counted(df: DataFrame, condition: str) -> tuple[DataFrame, int]:
     """``materialize``, and how many rows meet the condition, counted while they are written."""
     seen = Observation()

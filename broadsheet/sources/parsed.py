@@ -15,10 +15,12 @@ from pyspark.sql.types import DataType, StructType
 from .. import schemas
 from ..functions.html import both
 from ..operators.joins import broadcast_if_small
-from ..session import materialize
+from ..session import arrow_batches, empty_table, materialize
 
 #: Part of the config's digest; rises whenever the extraction reads pages differently.
 READER = 1
+#: Pages go to Python so many bytes at a time. A worker holds two such batches, that which it reads and the next, whatever the session allows.
+BATCH_BYTES = 4 << 20
 PAGE_KEY = ["site", "url", "html_key", "config_key"]
 
 
@@ -46,7 +48,7 @@ class ParsedPages:
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], self.schema)
+            return empty_table(self.spark, self.schema)
 
     def missing(self, keyed: DataFrame) -> DataFrame:
         """The keys of ``keyed`` that were never parsed."""
@@ -70,5 +72,6 @@ class ParsedPages:
         seen = Observation()
         fresh = self.reading(pages, missing, repeated).observe(seen, F.count(F.lit(1)).alias("n"))
         read = fresh.select(*PAGE_KEY, both("html", F.col("config")).alias("_page"))
-        read.select(*PAGE_KEY, "_page.*").write.mode("append").parquet(self.path)
+        with arrow_batches(read.sparkSession, BATCH_BYTES):
+            read.select(*PAGE_KEY, "_page.*").write.mode("append").parquet(self.path)
         return seen.get["n"]

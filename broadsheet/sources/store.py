@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 
 from .. import schemas
 from ..operators.upsert import KEY
+from ..session import empty_table
 
 TABLES = {
     "articles": schemas.ARTICLES,
@@ -55,7 +56,7 @@ class Store:
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], schema)
+            return empty_table(self.spark, schema)
 
     def last_run(self) -> int:
         return self._read("runs").agg(F.max("run").alias("run")).first()["run"] or 0
@@ -120,6 +121,6 @@ class Run:
     def commit(self, batch: str = "") -> int:
         if not self.has_state:
             self.put("state", self.store.state())
-        row = self.store.spark.createDataFrame([(self.number, batch)], TABLES["runs"])
-        row.coalesce(1).write.mode("overwrite").parquet(f"{self.store.root}/runs/written={self.number}")
+        row = self.store.spark.range(0, 1, 1, 1).select(F.lit(self.number).cast("bigint").alias("run"), F.lit(batch).alias("batch"))
+        row.write.mode("overwrite").parquet(f"{self.store.root}/runs/written={self.number}")
         return self.number

@@ -1,15 +1,21 @@
 """Whole runs: batch, resumed, forced, streamed; the store and the config reader."""
 
 import json
+from collections.abc import Iterator
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType, StructType
 
+from broadsheet import schemas
 from broadsheet.operators.extract import extract_articles, list_items, next_page
 from broadsheet.operators.reports import corpus_export
 from broadsheet.plans.crawl import run
-from broadsheet.session import work_dir
+from broadsheet.session import ARROW_BYTES, materialize, work_dir
 from broadsheet.sources.pages import read_html_files, read_pages, with_domain
+from broadsheet.sources.parsed import BATCH_BYTES, ParsedPages, with_keys
 from broadsheet.sources.sites import Defaults, read_sites, run_defaults
 from broadsheet.sources.store import Store
 from broadsheet.streaming.articles import stream_articles
@@ -276,3 +282,36 @@ def test_extraction_operators(spark):
     assert next_page(own, RAIL).first().next_url is None
     with pytest.raises(ValueError):
         extract_articles(pages, {"article": {"title_selector": "a:hover"}})
+
+
+def test_pages_go_to_python_in_small_batches(spark, tmp_path, monkeypatch):
+    """However much the session lets Spark send at a time."""
+
+    def sizes(html, config):
+        result = DataType.fromDDL(schemas.BOTH)
+
+        def read(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+            for pages, _ in batches:
+                yield pa.array([{"next_href": str(pages.nbytes)}] * len(pages), to_arrow_type(result))
+
+        return F.arrow_udf(read, result)(F.col(html), config)
+
+    monkeypatch.setattr("broadsheet.sources.parsed.both", sizes)
+    before = spark.conf.get(ARROW_BYTES)
+    html = F.repeat(F.lit("x"), 1 << 20).alias("html")
+    pages = with_keys(spark.range(0, 24, 1, 1).select(F.lit("s").alias("site"), F.concat(F.lit("u"), "id").alias("url"), F.lit("{}").alias("config"), html))
+    parsed = ParsedPages(spark, str(tmp_path / "parsed"))
+    assert parsed.add(pages, materialize(pages.select("site", "url", "html_key", "config_key"))) == 24
+    rows = parsed.rows().collect()
+    assert len(rows) == 24 and max(int(r.next_href) for r in rows) <= BATCH_BYTES + (2 << 20)
+    assert spark.conf.get(ARROW_BYTES) == before
+
+
+def test_the_store_makes_no_table_in_python(spark, tmp_path, monkeypatch):
+    """Workers started for that would stay on the executors."""
+    store = Store(spark, str(tmp_path / "store"))
+    monkeypatch.setattr(type(spark), "createDataFrame", None)
+    empty = [store.lookup("categories"), store.articles(), store.state(), store.of_walk("heads", "w"), ParsedPages(spark, str(tmp_path / "parsed")).rows()]
+    assert [t.count() for t in empty] == [0] * 5
+    assert [(f.name, f.dataType) for f in empty[1].schema] == [(f.name, f.dataType) for f in StructType.fromDDL(schemas.ARTICLES)]
+    assert store.begin().commit("b") == 1 and store.has_batch("b") and not store.has_batch("c") and store.last_run() == 1
