@@ -191,7 +191,11 @@ def _best(blocks: DataFrame, anchors: DataFrame, n_blocks: int, same_label: bool
         F.collect_list(F.struct("anchor", "vec_id", "label", "vector", "windows")).alias("anchors")
     )
     sent = packed.select("anchors", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))).alias("block"))
-    found = blocks.join(sent, "block").select(*(c for c in blocks.columns if c != "block"), "anchors").mapInArrow(_search(same_label, k), _FOUND)
+    # Spark takes what is sent for as small as the anchors, though it has them once per block, and would broadcast it; so this join is always a merge,
+    # which keeps one block at a time. The parts are not left to their size, as a block of few MB is searched for long.
+    sent, dealt = (x.repartition(2 * n_blocks, "block") for x in (sent, blocks))
+    pairs = sent.hint("merge").join(dealt, "block").select(*(c for c in blocks.columns if c != "block"), "anchors")
+    found = pairs.mapInArrow(_search(same_label, k), _FOUND)
     rank = F.row_number().over(Window.partitionBy("anchor", "slot").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k)
 

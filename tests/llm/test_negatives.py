@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -40,6 +41,21 @@ def test_against_brute_force(spark, monkeypatch):
     assert found(spark, rows) == expected and len(expected) > 200
 
 
+def test_anchors_sent_to_blocks_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr("broadsheet.llm.negatives.BLOCK_ROWS", (16, 16))
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=6).tolist(), i % 3) for i in range(200)]
+    table = spark.createDataFrame(rows, SCHEMA).select("vec_id", "label", quantised("embedding").alias("vector"))
+    frame = hard_negatives(table, F.col("vec_id") % 10 == 0)
+    plan = lambda: frame._jdf.queryExecution().executedPlan().toString()
+    planned = plan()
+    got = sorted((r.anchor_id, r.positive_id, r.rank, r.negative_id, r.positive_score, r.negative_score) for r in frame.collect())
+    assert got == brute(rows, lambda v: v % 10 == 0) and got
+    # of small tables, which Spark would broadcast: the join below the search, as planned and as it ran
+    joins = [re.search(r"\w+Join", below)[0] for p in (planned, plan()) for below in p.split("MapInArrow")[1:]]
+    assert len(joins) > 1 and set(joins) == {"SortMergeJoin"}
+
+
 def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.5], 1), (1, [1.0, 0.4], 1), (2, [0.9, 0.5], 2), (3, [nan, 1.0], 2), (4, [inf, 1.0], 1), (5, None, 1), (6, [1.0, None], 2), (7, [1.0, 0.4], None), (None, [1.0, 0.4], 1)]
